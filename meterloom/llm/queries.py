@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -31,9 +32,25 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .order_minhash import against_edits
+
+    return against_edits(table(spark, sf_dir, "documents"))
+
+
+def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import cascade
+
+    got = cascade(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), "kept")
+
+
 QUERIES = {
     "op1_bpe_lexicon": op1_bpe_lexicon,
     "op2_language_id": op2_language_id,
+    "op5_order_minhash": op5_order_minhash,
+    "op6_rule_cascade": op6_rule_cascade,
 }
 
 ORACLE_SQL: dict[str, str] = {}
