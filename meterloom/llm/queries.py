@@ -32,6 +32,19 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op3_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pseudonymised
+
+    return pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_templates import judged
+
+    got = judged(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return got.select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 6).alias("purity"))
+
+
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .order_minhash import against_edits
 
@@ -49,6 +62,8 @@ def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_lexicon": op1_bpe_lexicon,
     "op2_language_id": op2_language_id,
+    "op3_pii_feistel": op3_pii_feistel,
+    "op4_url_templates": op4_url_templates,
     "op5_order_minhash": op5_order_minhash,
     "op6_rule_cascade": op6_rule_cascade,
 }
