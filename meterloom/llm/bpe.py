@@ -11,7 +11,6 @@ encoded as their ids, as the public library does by default.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import heapq
 import json
@@ -23,6 +22,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from .common import kept
 
 #: Most words that the lexicon takes, and that each task hands on as candidates.
-LEXICON_WORDS, TASK_WORDS = 60_000, 60_000
+LEXICON_WORDS, TASK_WORDS = 60_000, 40_000
 #: Characters of a pre-token; longer ones are merged with a heap instead of in batches.
 LONG_WORD = 48
-#: Entries of the memo of text pieces in a worker before it is emptied.
-MEMO = 200_000
+#: Characters of text that are encoded together.
+BLOCK_CHARS = 1 << 23
 
 _ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 
@@ -80,25 +80,39 @@ class Vocabulary:
 
     def merge_many(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word (UTF-8): the lowest-ranked pair, the leftmost of these first, is merged until none is left."""
-        out: list = [None] * len(words)
-        short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG_WORD]
-        for i, w in enumerate(words):
-            if len(w) > LONG_WORD or not w:
-                out[i] = self.merge_long(w)
-        short.sort(key=lambda i: len(words[i]))
-        for at in range(0, len(short), 4096):
-            block = short[at : at + 4096]
-            lens = np.array([len(words[i]) for i in block])
-            width = int(lens.max())
-            raw = np.frombuffer(b"".join(words[i].ljust(width, b"\0") for i in block), np.uint8).reshape(len(block), width)
+        counts, flat = self.merge_flat(words)
+        ends = np.cumsum(counts).tolist()
+        flat = flat.tolist()
+        return [flat[e - n : e] for e, n in zip(ends, counts.tolist(), strict=True)]
+
+    def merge_flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, all words' ids one after the other)."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        counts, done = np.zeros(len(words), np.int64), []
+        for i in np.flatnonzero(sizes > LONG_WORD):
+            ids = np.array([self.merge_long(words[i])], np.int32)
+            counts[i] = ids.shape[1]
+            done.append((np.array([i]), ids))
+        order = np.argsort(sizes, kind="stable")
+        order = order[(sizes[order] > 0) & (sizes[order] <= LONG_WORD)]
+        for at in range(0, len(order), 4096):
+            block = order[at : at + 4096]
+            lens, raw = _matrix(words, sizes, block)
+            width = raw.shape[1]
             ids = self.inner[raw]
             rows = np.arange(len(block))
             ids[rows, lens - 1] = self.final[raw[rows, lens - 1]]
             ids[np.arange(width)[None, :] >= lens[:, None]] = -1
             self._merge_block(ids, lens)
-            for i, row, n in zip(block, ids.tolist(), lens.tolist(), strict=True):
-                out[i] = row[:n]
-        return out
+            counts[block] = lens
+            done.append((block, ids[:, : int(lens.max())]))
+        starts = np.cumsum(counts) - counts
+        flat = np.empty(int(counts.sum()), np.int32)
+        for block, ids in done:
+            cols = np.arange(ids.shape[1])[None, :]
+            has = cols < counts[block][:, None]
+            flat[(starts[block][:, None] + cols)[has]] = ids[has]
+        return counts, flat
 
     def _merge_block(self, ids: np.ndarray, lens: np.ndarray) -> None:
         none = np.int64(1 << 62)
@@ -182,6 +196,13 @@ class Vocabulary:
         return " ".join([self.tokens[i] for i in ids])
 
 
+def _matrix(words: list[bytes], sizes: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, bytes padded to the longest) of some of the words."""
+    lens = sizes[block]
+    width = int(lens.max())
+    return lens.copy(), np.frombuffer(b"".join([words[i].ljust(width, b"\0") for i in block.tolist()]), np.uint8).reshape(len(block), width)
+
+
 def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
     return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -305,16 +326,15 @@ class Lexicon:
         out = np.full(len(words), -1, np.int64)
         if not self.words:
             return out
-        lens = np.array([len(w) for w in words])
+        lens = np.fromiter(map(len, words), np.int64, len(words))
         order = np.argsort(lens, kind="stable")
         for at in range(0, len(order), 8192):
             block = order[at : at + 8192]
             block = block[(lens[block] > 0) & (lens[block] <= 4 * LONG_WORD)]
             if not len(block):
                 continue
-            n = lens[block]
-            width = int(n.max())
-            raw = np.frombuffer(b"".join(words[i].ljust(width, b"\0") for i in block), np.uint8).reshape(len(block), width)
+            n, raw = _matrix(words, lens, block)
+            width = raw.shape[1]
             state, total, live = np.full(len(block), self.states - 1, np.int64), np.zeros(len(block), np.int64), np.arange(len(block))
             for j in range(width):
                 live = live[n[live] > j]
@@ -331,53 +351,94 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes texts by way of a lexicon; pieces of text that it has met lately are kept in a memo of bounded size."""
+    """Encodes blocks of texts by way of a lexicon: each distinct piece of a block is encoded once, and texts are put together from
+    the pieces' results, all in arrays."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
-        self.v, self.lexicon, self.memo = vocabulary, lexicon, {}
-        self.numerals = [str(i) for i in range(len(vocabulary.tokens))]
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encodes pieces that the memo lacks: pre-tokens by the lexicon, those that it lacks by exact merging."""
-        memo, special, numerals, tokens = self.memo, self.v.special, self.numerals, self.v.tokens
-        if len(memo) > MEMO:
-            memo.clear()
-        new = [p for p in pieces if p not in memo]
-        split = {p: [] if p in special else self.v.pre_tokens(p) for p in new if not p.isalpha()}  # letters alone are one pre-token
-        words = list({p for p in new if p not in split}.union(*split.values()))
+        self.v, self.lexicon = vocabulary, lexicon
+        self.numerals = pa.array([str(i) for i in range(len(vocabulary.tokens))])
+        self.tokens = pa.array(vocabulary.tokens)
+
+    def distinct(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each piece, all pieces' ids): pre-tokens by the lexicon, those that it lacks by exact merging."""
+        special = self.v.special
+        split = [(p,) if p.isalpha() or p in special else self.v.pre_tokens(p) for p in pieces]  # letters alone are one pre-token
+        index = dict.fromkeys([w for x in split for w in x])
+        words = list(index)
+        index = dict(zip(words, range(len(words)), strict=True))
         raw = [w.encode() for w in words]
-        at = self.lexicon.indices(raw).tolist()
-        lacking = [i for i, k in enumerate(at) if k < 0]
-        merged = iter(self.v.merge_many([raw[i] for i in lacking]))
-        known = {}
-        for w, k in zip(words, at, strict=True):
-            ids = next(merged) if k < 0 else self.lexicon.ids_at(k)
-            known[w] = (ids, " ".join([numerals[i] for i in ids]), " ".join([tokens[i] for i in ids]))
-        for p in new:
-            if p not in split:
-                memo[p] = known[p]
-            elif p in special:
-                memo[p] = ([special[p]], numerals[special[p]], p)
-            else:
-                parts = [known[w] for w in split[p]]
-                memo[p] = parts[0] if len(parts) == 1 else ([i for x in parts for i in x[0]], " ".join([x[1] for x in parts]), " ".join([x[2] for x in parts]))
-
-    def batch(self, texts: list[str], most: int = 1 << 21):
-        """For each text the list of its pieces' (ids, ids as text, decoded ids)."""
+        at = self.lexicon.indices(raw)
+        for w, i in special.items():
+            if w in index:
+                at[index[w]] = -2 - i
+        lacking = np.flatnonzero(at == -1)
+        counts = np.ones(len(words), np.int64)
+        known = np.flatnonzero(at >= 0)
+        counts[known] = self.lexicon.starts[at[known] + 1] - self.lexicon.starts[at[known]]
+        new_counts, new = self.v.merge_flat([raw[i] for i in lacking.tolist()])
+        counts[lacking] = new_counts
+        starts = np.cumsum(counts) - counts
+        flat = np.empty(int(counts.sum()), np.int32)
+        flat[_ranges(starts[known], counts[known])] = self.lexicon.ids[_ranges(self.lexicon.starts[at[known]], counts[known])]
+        flat[_ranges(starts[lacking], new_counts)] = new
+        marks = np.flatnonzero(at < -1)
+        flat[starts[marks]] = -2 - at[marks]
+        codes = np.array([index[w] for x in split for w in x], np.int64)
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        ends = np.concatenate([[0], np.cumsum(counts[codes])])
+        word_ends = np.cumsum(sizes)
+        return ends[word_ends] - ends[word_ends - sizes], flat[_ranges(starts[codes], counts[codes])]
+
+    def blocks(self, texts: list[str], with_ids: bool = False, most: int = BLOCK_CHARS):
+        """(number of ids, ids as text, decoded ids, ids on request) of runs of texts."""
         at = 0
         while at < len(texts):
-            held, size = [], 0
-            while at < len(texts) and (not held or size < most):
-                held.append(self.v.pieces(texts[at]))
+            pieces, sizes, size = [], [], 0
+            while at < len(texts) and (not sizes or size < most):
+                x = self.v.pieces(texts[at])
+                pieces += x
+                sizes.append(len(x))
                 size += len(texts[at])
                 at += 1
-            self.learn(set().union(*held))
-            memo = self.memo
-            for x in held:
-                yield [memo[p] for p in x]
+            coded = pa.array(pieces, pa.string()).dictionary_encode()
+            del pieces
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            counts, flat = self.distinct(coded.dictionary.to_pylist())
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            shown = [pc.binary_join(pa.ListArray.from_arrays(offsets, x.take(pa.array(flat))), " ") for x in (self.numerals, self.tokens)]
+            # a piece without ids leaves no gap
+            keep = counts[codes] > 0
+            ends = np.cumsum(np.array(sizes, np.int64))
+            kept_before = np.concatenate([[0], np.cumsum(keep)])
+            codes = codes[keep]
+            bounds = np.concatenate([[0], kept_before[ends]])
+            lists = pa.array(bounds.astype(np.int64))
+            wide = [x.cast(pa.large_string()).take(pa.array(codes)) for x in shown]
+            ids_text, decoded = (pc.binary_join(pa.LargeListArray.from_arrays(lists, x), pa.scalar(" ", pa.large_string())) for x in wide)
+            total = np.concatenate([[0], np.cumsum(counts[codes])])[bounds]
+            ids = None
+            if with_ids:
+                starts = np.cumsum(counts) - counts
+                all_ids = flat[_ranges(starts[codes], counts[codes])]
+                ids = [all_ids[a:b].tolist() for a, b in zip(total[:-1].tolist(), total[1:].tolist(), strict=True)]
+            yield np.diff(total), ids_text, decoded, ids
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [[i for ids, _, _ in x for i in ids] for x in self.batch(texts)]
+        return [x for block in self.blocks(texts, True) for x in block[3]]
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... counts[0] of them, then from starts[1]."""
+    ends = np.cumsum(counts)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
+
+
+def sha256_each(texts: pa.Array) -> list[str]:
+    """Of each text's UTF-8 bytes, as lowercase hexadecimal digits."""
+    n = len(texts)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, n + 1 + texts.offset)[texts.offset :].tolist()
+    data = memoryview(texts.buffers()[2] or b"")
+    return [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(offsets, offsets[1:], strict=False)]
 
 
 # -- on Spark ----------------------------------------------------------------------------------------------------------
@@ -391,23 +452,34 @@ def frequent_words(docs: DataFrame, vocabulary_bytes, text: str, most: int = LEX
     """(word, n): the most frequent pre-tokens. Counts cover all texts; a word counts in each task where it is among the task's `per_task` first."""
 
     def count(batches):
-        gc.disable()
         v = Vocabulary(vocabulary_bytes.value)
         seen: Counter = Counter()
-        cut = 20 * per_task
         for b in batches:
-            for t in _texts(b.column(0)):
-                seen.update(v.pieces(t))
-                if len(seen) > cut:  # the task's memory stays bounded: the rarest go
-                    seen = Counter(dict(seen.most_common(cut // 2)))
+            held: list[str] = []
+            texts = _texts(b.column(0))
+            for i, t in enumerate(texts):
+                held += v.pieces(t)
+                if len(held) > 1_000_000 or i == len(texts) - 1:
+                    found = pa.array(held, pa.string()).value_counts()
+                    for p, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True):
+                        seen[p] += n
+                    held = []
+                    if len(seen) > 20 * per_task:  # the task's memory stays bounded: the rarest go
+                        seen = Counter(dict(most_frequent(seen, 10 * per_task)))
         words: Counter = Counter()
-        for p, n in seen.items():
+        for p, n in most_frequent(seen, 2 * per_task):
             if p not in v.special:
                 for w in v.pre_tokens(p):
                     words[w] += n
-        top = words.most_common(per_task)
+        top = most_frequent(words, per_task)
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["word", "n"])
 
+    def most_frequent(counter, k):
+        if len(counter) <= k:
+            return list(counter.items())
+        cut = int(np.partition(np.fromiter(counter.values(), np.int64, len(counter)), -k)[-k])
+        return [x for x in counter.items() if x[1] > cut] or [x for x in counter.items() if x[1] == cut][:k]
+
     parts = docs.select(F.col(text).alias("t")).mapInArrow(count, "word string, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
 
@@ -424,24 +496,16 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_i
 
     def run(batches):
         enc = worker_encoder(shared_spec, block)
-        gc.disable()  # nothing here is cyclic, and millions of small lists would be traced again and again
         for b in batches:
-            n, ids_sha, text_sha, all_ids, decoded = [], [], [], [], []
-            for x in enc.batch(_texts(b.column(1))):
-                x = [y for y in x if y[0]]
-                n.append(sum([len(y[0]) for y in x]))
-                ids_sha.append(hashlib.sha256(" ".join([y[1] for y in x]).encode()).hexdigest())
-                plain = " ".join([y[2] for y in x])
-                text_sha.append(hashlib.sha256(plain.encode()).hexdigest())
+            at = 0
+            for n, ids_text, decoded, ids in enc.blocks(_texts(b.column(1)), keep_ids):
+                cols = [b.column(0).slice(at, len(n)), pa.array(n, pa.int64()), pa.array(sha256_each(ids_text), pa.string()), pa.array(sha256_each(decoded), pa.string())]
+                names = [id_column, "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:
-                    all_ids.append([i for y in x for i in y[0]])
-                    decoded.append(plain)
-            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
-            names = [id_column, "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep_ids:
-                cols += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+                    cols += [pa.array(ids, pa.list_(pa.int32())), decoded.cast(pa.string())]
+                    names += ["ids", "decoded"]
+                at += len(n)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     kind = docs.schema[id_column].dataType.simpleString()
     out = f"`{id_column}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if keep_ids else "")
