@@ -81,13 +81,16 @@ def _power_table(base: int, n: int) -> np.ndarray:
     return kept(("powers", base), lambda: make(usual)) if n <= usual else make(n)
 
 
-def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
+def byte_tables() -> tuple[np.ndarray, dict[str, np.ndarray]]:
     def make():
         lower = np.arange(256, dtype=np.uint64)
         lower[65:91] += np.uint64(32)  # A-Z only
-        space = np.zeros(256, bool)
-        space[list(SPACES)] = True
-        return mix(lower + np.uint64(0x1234567)), space
+        between = {k: np.zeros(256, bool) for k in ("words", "letters", "lines")}
+        between["words"][list(SPACES)] = True
+        between["letters"][:128] = True  # runs of letters; what isn't ASCII counts as letters
+        between["letters"][65:91] = between["letters"][97:123] = False
+        between["lines"][10] = True
+        return mix(lower + np.uint64(0x1234567)), between
 
     return kept("bytes", make)
 
@@ -111,14 +114,14 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES):
         at = end
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a slice: a 64-bit hash of each word with A-Z lower-cased, its first byte, the byte after it, and per row the index of its first word (one more at the end)."""
-    value, space = _byte_tables()
+def words_of(data: np.ndarray, offsets: np.ndarray, kind: str = "words") -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a slice: a 64-bit hash of each word with A-Z lower-cased, its first byte, the byte after it, and per row the index of its first word (one more at the end). kind: what counts as a word (words, letters, lines)."""
+    value, between = byte_tables()
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), z, z, np.zeros(len(offsets), np.int64)
-    inside = ~space[data]
+    inside = ~between[kind][data]
     first = np.empty(n, bool)
     first[0] = True
     first[1:] = ~inside[:-1]
@@ -153,6 +156,28 @@ def shingles_of(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def hash_words(words: list[str], kind: str = "words") -> np.ndarray:
+    """The hashes that words_of gives these words."""
+    data = np.frombuffer("\n".join(words).encode(), np.uint8)
+    return words_of(data, np.array([0, len(data)]), kind)[0]
+
+
+def repeats(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether an equal value stands in the same row elsewhere, whether it does so before)."""
+    order = np.lexsort((values, rows))  # stable: equal ones stay in order
+    v, r = values[order], rows[order]
+    same = np.zeros(len(v), bool)
+    if len(v) > 1:
+        same[1:] = (v[1:] == v[:-1]) & (r[1:] == r[:-1])
+    again = np.zeros(len(v), bool)
+    again[order] = same
+    either = same.copy()
+    either[:-1] |= same[1:]
+    twice = np.zeros(len(v), bool)
+    twice[order] = either
+    return twice, again
+
+
 # -- connected components ----------------------------------------------------------------------------------------------
 
 

@@ -59,6 +59,24 @@ def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), "kept")
 
 
+def op7_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .length_buckets import packed
+
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .weak_labels import classified
+
+    return classified(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")).drop("text")
+
+
+def op9_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_tree_join import linked
+
+    return linked(table(spark, sf_dir, "documents").select("doc_id", "text"), k=3, num=90, den=100)
+
+
 QUERIES = {
     "op1_bpe_lexicon": op1_bpe_lexicon,
     "op2_language_id": op2_language_id,
@@ -66,6 +84,9 @@ QUERIES = {
     "op4_url_templates": op4_url_templates,
     "op5_order_minhash": op5_order_minhash,
     "op6_rule_cascade": op6_rule_cascade,
+    "op7_length_buckets": op7_length_buckets,
+    "op8_weak_label_quality": op8_weak_label_quality,
+    "op9_prefix_tree_join": op9_prefix_tree_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
