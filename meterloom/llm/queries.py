@@ -77,6 +77,12 @@ def op9_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked(table(spark, sf_dir, "documents").select("doc_id", "text"), k=3, num=90, den=100)
 
 
+def op10_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .compact_windows import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_bpe_lexicon": op1_bpe_lexicon,
     "op2_language_id": op2_language_id,
@@ -87,6 +93,7 @@ QUERIES = {
     "op7_length_buckets": op7_length_buckets,
     "op8_weak_label_quality": op8_weak_label_quality,
     "op9_prefix_tree_join": op9_prefix_tree_join,
+    "op10_compact_windows": op10_compact_windows,
 }
 
 ORACLE_SQL: dict[str, str] = {}
