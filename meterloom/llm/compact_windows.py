@@ -289,18 +289,20 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
 
     def run(batches):
         for b in batches:
-            spans_, texts, keep = b.column(len(names)).to_pylist(), b.column(at).to_pylist(), []
-            for i, x in enumerate(spans_):
-                if x:
-                    texts[i] = cut(texts[i], [(y["start"], y["end"]) for y in x])
-                keep.append(not x or bool(texts[i].strip()))
+            found_ = b.column(len(names))
+            hit = np.flatnonzero(found_.is_valid().to_numpy(zero_copy_only=False))
+            keep = np.ones(b.num_rows, bool)
             cols = list(b.columns[: len(names)])
-            cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(keep, pa.bool_()))
+            if len(hit):
+                texts = cols[at].to_pylist()
+                for i, x in zip(hit.tolist(), found_.take(pa.array(hit)).to_pylist(), strict=True):
+                    texts[i] = cut(texts[i], [(y["start"], y["end"]) for y in x])
+                    keep[i] = bool(texts[i].strip())
+                cols[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(keep))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    touched = joined.filter("spans is not null").mapInArrow(run, schema)
-    return joined.filter("spans is null").select(*names).unionByName(touched)
+    return joined.mapInArrow(run, schema)
 
 
 def cut(text: str, ranges: list[tuple[int, int]]) -> str:

@@ -72,7 +72,7 @@ def _first_part(values: np.ndarray, one_in: int) -> np.ndarray:
 
 
 def _members(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
-    """(key, n, class) of each document."""
+    """(id, d, n, class) of each document; d tells texts of one id apart."""
 
     def run(batches):
         for b in batches:
@@ -81,9 +81,13 @@ def _members(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
                 for v in sets_of(data, offsets, k):
                     n.append(len(v))
                     c.append(class_of(v))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(c, pa.int64())], names=["id", "n", "class"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(c, pa.int64())], names=["id", "d", "n", "class"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), text).mapInArrow(run, "id long, n long, class long")
+    return docs.select(F.col(key).cast("long").alias("id"), text, _row_key(key, text).alias("d")).mapInArrow(run, "id long, d long, n long, class long")
+
+
+def _row_key(key: str, text: str):
+    return F.xxhash64(F.col(key).cast("long"), F.col(text))
 
 
 def _frequent(docs: DataFrame, k: int, one_in: int, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -189,6 +193,25 @@ def linked(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, key: str
     return joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def deduplicated(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with one document of each group that links connect: the one of the smallest key. Rows that repeat count as one document;
+    documents without words are in no group and stay."""
+    members = staged(_members(docs, k, key, text), "members")
+    found = components(class_links(docs, members, k, num, den, text))
+    first = lambda: F.min(F.struct(F.col("id").isNull().alias("none"), "id", "d"))
+    least = members.filter("n > 0").groupBy("class").agg(first().alias("x"))
+    least = least.join(found, F.col("class") == F.col("node"), "left").groupBy(F.coalesce("root", "class").alias("g")).agg(F.min("x").alias("x"))
+    kept = least.select(F.col("x.d").alias("_d")).unionByName(members.filter("n = 0").select(F.col("d").alias("_d")).distinct())
+    copies = members.groupBy(F.col("d").alias("_e")).agg(F.count("*").alias("c")).filter("c > 1")
+    kept = kept.join(copies, F.col("_d") == F.col("_e"), "left").select("_d", F.coalesce("c", F.lit(1)).alias("_c"))
+    rows = docs.withColumn("_k", _row_key(key, text)).join(kept, F.col("_k") == F.col("_d"))
+    if kept.filter("_c > 1").head(1):
+        # the rows that repeat, of which one is taken, are few beside the others, or the table is mostly copies
+        once = rows.filter("_c > 1").dropDuplicates(["_k"])
+        rows = rows.filter("_c = 1").unionByName(once)
+    return rows.select(*docs.columns)
+
+
 def class_links(docs: DataFrame, members: DataFrame, k: int, num: int, den: int, text: str = "text") -> DataFrame:
     """(a, b): links between classes, enough of them to connect all that link."""
     one_in = max(1, math.floor(den / (2.5 * (den - num)))) if num < den else 8
