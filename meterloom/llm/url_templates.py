@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import shielded, staged
+
 #: (verdict, host and path prefix)
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 #: Levels that the tree has; deeper segments belong to the last.
@@ -52,6 +54,7 @@ def typed(segment: Column) -> Column:
     return F.concat(kind, ending)
 
 
+@shielded(("page_id", "url"))
 def judged(pages: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
     """pages with host, path, rule, template, purity and verdict."""
     host, path = host_and_path(F.col(url))
@@ -60,12 +63,13 @@ def judged(pages: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
     levels = F.transform(segments, typed)
     deep = F.when(F.size(levels) > DEPTH, F.concat(F.slice(levels, 1, DEPTH - 1), F.array(F.array_join(F.slice(levels, F.lit(DEPTH), F.size(levels)), "/")))).otherwise(levels)
     rows = rows.withColumn("_p", deep)
-    # templates as they are typed: one row for each host and path form
+    # templates as they are typed: one row for each host and path form, staged because the tree goes over them several times
     paths = rows.groupBy("host", "_p").agg(F.count("*").alias("n"), F.count_if(F.col("_fit.verdict") == "block").alias("bad"), F.count_if(F.col("_fit").isNotNull()).alias("labelled")).withColumn("t", F.col("_p"))
+    paths = staged(paths, "paths")
     for depth in range(1, DEPTH + 1):
-        paths = _generalised(paths, depth)
+        paths = staged(_generalised(paths, depth), "paths")
     tree = paths.groupBy("host", "t").agg(*[F.sum(c).cast("long").alias(c) for c in ("n", "bad", "labelled")])
-    tree = _merged(tree)
+    tree = staged(_merged(staged(tree, "tree")), "tree")
     known = paths.select("host", "_p", "t").join(tree, ["host", "t"])
     got = rows.join(known.select(F.col("host").alias("_h"), F.col("_p").alias("_q"), F.concat(F.lit("/"), F.array_join("t", "/")).alias("template"), "purity"), (F.col("host") == F.col("_h")) & (F.col("_p") == F.col("_q")), "left")
     verdict = F.coalesce(F.col("_fit.verdict"), F.when(F.col("purity") > THRESHOLD, F.lit("block")).otherwise(F.lit("allow")))
