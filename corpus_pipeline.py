@@ -19,8 +19,7 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the classifier rejects, for their form or for abuse."""
-    got = weak_labels.classified(docs, common.table(spark, sf_dir, "labels"))
-    return got.filter("kept").select(*docs.columns)
+    return weak_labels.accepted(docs, common.table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

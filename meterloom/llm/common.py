@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import gc
 import sys
 import tempfile
 import uuid
@@ -45,6 +47,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of plans that nothing refers to any more, as after a table was staged."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def kept(key, make):
     """make()'s value, made once in a process. Functions travel by value, so their own globals don't outlive a task."""
     cache = sys.__dict__.setdefault("_meterloom_kept", {})
@@ -53,6 +61,26 @@ def kept(key, make):
     return cache[key]
 
 
+def shielded(needed: tuple[str, ...] = ("doc_id", "text")):
+    """For operators from a table to a table: columns that they don't need are out of their sight under other names, so no name of
+    theirs can clash; a column that the operator adds replaces one of that name. `key` and `text` arguments are needed too."""
+
+    def wrap(f):
+        @functools.wraps(f)
+        def g(docs: DataFrame, *args, **named) -> DataFrame:
+            own = {*needed, *(v for k, v in named.items() if k in ("key", "text", "url"))}
+            mark = uuid.uuid4().hex[:12]
+            hidden = {c: f"_{mark}_{i}" for i, c in enumerate(docs.columns) if c not in own}
+            out = f(docs.withColumnsRenamed(hidden), *args, **named)
+            seen = set(out.columns)
+            out = out.drop(*[h for c, h in hidden.items() if c in seen])
+            return out.withColumnsRenamed({h: c for c, h in hidden.items() if h in seen and c not in seen})
+
+        return g
+
+    return wrap
+
+
 # -- hashing -----------------------------------------------------------------------------------------------------------
 
 

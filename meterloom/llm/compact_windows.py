@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, shingles_of, slices, staged, words_of
+from .common import mix, shielded, shingles_of, slices, staged, words_of
 
 K, MIN_WORDS, HASHES, ENOUGH = 5, 50, 4, 2
 #: Share of a passage's shingles that must be repeated: |A & B| / |A | B| >= 0.8 for parts of equal length.
@@ -279,6 +279,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return got.select(back(F.col("id")).alias(key), F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"), (F.col("s.end") - F.col("s.start")).alias("n_words"), back(F.col("s.source")).alias("source_id"), F.round(F.col("s.repeated") / (2 * n - F.col("s.repeated")), 6).alias("similarity"))
 
 
+@shielded()
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """docs without the passages that an earlier document has, and without documents of which nothing is left by that."""
     found = passages(docs, key, text, min_words).select(F.col("d").alias("_d"), "spans")

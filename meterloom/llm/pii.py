@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import shielded
 from .quality_rules import let
 
 KEY = "demonstration key"
@@ -203,6 +204,7 @@ def pseudonym(x: Column, key: str = KEY) -> Column:
     return out.otherwise(x)
 
 
+@shielded()
 def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY, counts: bool = True) -> DataFrame:
     """docs with text made anew and, on request, n_pseudonyms: how many values were replaced."""
     pattern = "|".join(p.replace(r"\1", r"\k<sep>").replace(r"([ \-])", r"(?<sep>[ \-])") for p in PATTERNS.values())

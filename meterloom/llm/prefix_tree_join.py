@@ -29,12 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, mix, shingles_of, slices, staged, words_of
+from .common import components, mix, release, shielded, shingles_of, slices, staged, words_of
 
 #: Shingles in one block of a large cluster, about.
 BLOCK_SHINGLES = 400_000
 #: Shingles that are known as frequent at most; those that a task hands on, and from how many of its classes on.
 FREQUENT, FREQUENT_TASK, FREQUENT_FROM = 50_000, 2_000, 16
+#: Bits of a set's size in a packed number.
+PACK = 30
 #: Bits of the filter that keeps the second reading of the texts to classes that matter; 2 MB at every size.
 FILTER_BITS = 24
 EMPTY = np.int64(0)
@@ -128,10 +130,10 @@ def _frequent(docs: DataFrame, k: int, one_in: int, text: str) -> tuple[np.ndarr
 
 
 def _candidates(docs: DataFrame, k: int, num: int, den: int, one_in: int, text: str) -> DataFrame:
-    """(s, class, need, first, part, df): each class's shingles of the first part, and as many of the others as its prefix needs.
+    """(s, class, meta, df): each class's shingles of the first part, and as many of the others as its prefix needs.
 
-    part: 0 for the first part, 1 for others; need: prefix length; first: how many of the first part; df: classes that have the
-    shingle, for frequent ones, else null. A task hands on a class once.
+    meta: prefix length, how many shingles are of the first part (PACK bits each), and 1 for a shingle of the others; df: classes that
+    have the shingle, for frequent ones, else null. A task hands on a class once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, k, one_in, text))  # at most FREQUENT pairs
 
@@ -157,26 +159,27 @@ def _candidates(docs: DataFrame, k: int, num: int, den: int, one_in: int, text:
                 values = np.concatenate([x[0] for x in held]).view(np.int64)
                 firsts, classes, needs = (np.array([x[i] for x in held], np.int64) for i in (1, 2, 3))
                 within = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                cols = [values, np.repeat(classes, sizes), np.repeat(needs, sizes).astype(np.int32), np.repeat(firsts, sizes).astype(np.int32), (within >= np.repeat(firsts, sizes)).astype(np.int8)]
+                firsts_, needs_ = np.repeat(firsts, sizes), np.repeat(needs, sizes)
+                cols = [values, np.repeat(classes, sizes), (needs_ << (PACK + 1)) | (firsts_ << 1) | (within >= firsts_)]
                 if len(known):
                     at = np.minimum(np.searchsorted(known, values), len(known) - 1)
                     df = pa.array(counts[at], mask=known[at] != values)
                 else:
                     df = pa.nulls(len(values), pa.int64())
-                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), df], names=["s", "class", "need", "first", "part", "df"])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), df], names=["s", "class", "meta", "df"])
 
-    return docs.select(text).mapInArrow(run, "s long, class long, need int, first int, part byte, df long")
+    return docs.select(text).mapInArrow(run, "s long, class long, meta long, df long")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
     """rows whose shingle at least two classes have, with df: how many do. One shuffle: rows of a frequent shingle, whose df is known,
     are dealt by class instead of by shingle, so no shingle is hot."""
-    columns = ["deal", "s", "class", "need", "first", "part", "df"]
+    columns = ["deal", "s", "class", "meta", "df"]
     dealt = rows.withColumn("deal", F.when(F.col("df").isNull(), F.col("s")).otherwise(F.xxhash64("class"))).repartition("deal")
     one = dealt.groupBy(*columns).agg(F.count("*").alias("copies"))  # several tasks may have handed on a class
     counted = one.withColumn("found", F.count("*").over(Window.partitionBy("deal", "s")))
     df = F.coalesce(F.col("df"), F.col("found"))
-    return counted.withColumn("df", df).filter("df > 1").select("s", "class", "need", "first", "part", "df")
+    return counted.withColumn("df", df).filter("df > 1").select("s", "class", "meta", "df")
 
 
 def linked(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -193,6 +196,7 @@ def linked(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, key: str
     return joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+@shielded()
 def deduplicated(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one document of each group that links connect: the one of the smallest key. Rows that repeat count as one document;
     documents without words are in no group and stay."""
@@ -214,22 +218,35 @@ def deduplicated(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key
 
 def class_links(docs: DataFrame, members: DataFrame, k: int, num: int, den: int, text: str = "text") -> DataFrame:
     """(a, b): links between classes, enough of them to connect all that link."""
-    one_in = max(1, math.floor(den / (2.5 * (den - num)))) if num < den else 8
+    spark = docs.sparkSession
+    edges = _prefixes(docs, k, num, den, text)
+    release(spark)
+    # clusters: the classes of a shingle all hang on the least of them
+    least = edges.groupBy("s").agg(F.min("class").alias("least"), F.count("*").alias("n")).filter("n > 1").select(F.col("s").alias("s2"), "least")
+    pairs = edges.join(least, F.col("s") == F.col("s2")).select(F.col("class").alias("a"), F.col("least").alias("b")).distinct()
+    cluster = staged(components(pairs).select(F.col("node").alias("class"), F.col("root").alias("cluster")), "clusters")
+    del least, pairs, edges
+    sets = staged(_sets_in(docs, cluster, k, text).join(cluster, "class"), "sets")
+    release(spark)
+    links = staged(_matched(sets, num, den), "links")
+    release(spark)
+    return links
+
+
+def _prefixes(docs: DataFrame, k: int, num: int, den: int, text: str) -> DataFrame:
+    """(class, s): the shingles of each class's prefix that another class has too, for classes that may have a partner."""
+    # the first part is some more than the longest prefix
+    one_in = max(1, math.floor(den / (1.6 * (den - num)))) if num < den else 8
     df = _shared(_candidates(docs, k, num, den, one_in, text))
-    shared = F.array_sort(F.collect_set(F.struct("part", "df", "s")))
-    per_class = df.groupBy("class").agg(F.first("need").alias("need"), F.first("first").alias("first"), shared.alias("x"))
+    part, need, first = F.col("meta") % 2, F.shiftright("meta", PACK + 1), F.shiftright("meta", 1) % (1 << PACK)
+    shared = F.array_sort(F.collect_list(F.struct(part.alias("part"), "df", "s")))
+    per_class = df.groupBy("class").agg(F.first(need).alias("need"), F.first(first).alias("first"), shared.alias("x"))
     # shingles of the first part that nobody shares come first of all
     n_front = F.size(F.filter("x", lambda e: e["part"] == 0))
     alone = F.greatest(F.col("first") - n_front, F.lit(0))
-    wanted = F.greatest(F.col("need") - alone, F.lit(0))
+    wanted = F.greatest(F.col("need") - alone, F.lit(0)).cast("int")
     prefix = per_class.withColumn("wanted", wanted).filter("wanted > 0").select("class", F.explode(F.slice("x", F.lit(1), F.col("wanted"))).alias("e"))
-    edges = staged(prefix.select("class", F.col("e.s").alias("s")), "prefixes")
-    # clusters: the classes of a shingle all hang on the least of them
-    least = edges.groupBy("s").agg(F.min("class").alias("least"), F.count("*").alias("n")).filter("n > 1").select(F.col("s").alias("s2"), "least")
-    pairs = edges.join(least, F.col("s") == F.col("s2")).select(F.col("class").alias("a"), F.col("least").alias("b")).distinct()
-    cluster = components(pairs).select(F.col("node").alias("class"), F.col("root").alias("cluster"))
-    sets = _sets_in(docs, cluster, k, text).join(cluster, "class")
-    return staged(_matched(staged(sets, "sets"), num, den), "links")
+    return staged(prefix.select("class", F.col("e.s").alias("s")), "prefixes")
 
 
 def _sets_in(docs: DataFrame, cluster: DataFrame, k: int, text: str) -> DataFrame:

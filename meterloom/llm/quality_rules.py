@@ -15,6 +15,8 @@ import time
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import shielded
+
 #: Rows that costs and selectivities are measured on, at most.
 SAMPLE = 1000
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -107,6 +109,7 @@ def ordered(measured: dict[str, tuple[float, float]]) -> list[str]:
     return sorted(measured, key=lambda r: (-measured[r][1] / measured[r][0], measured[r][0], r))
 
 
+@shielded()
 def cascade(docs: DataFrame, rules: dict[str, Column] | None = None, text: str = "text") -> DataFrame:
     """docs with the statistics, the name of the first rule that rejects (in the measured order; null where kept) and kept."""
     rules = rules or default_rules(text)

@@ -96,4 +96,18 @@ QUERIES = {
     "op10_compact_windows": op10_compact_windows,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_rule_cascade": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+wins AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) > 2)),
+many AS (SELECT doc_id, i FROM wins QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM many, (SELECT unnest([0, 1, 2]) AS j) GROUP BY 1),
+s AS (SELECT w.doc_id, text, CAST(len(words) AS BIGINT) AS n_words, CAST(length(list_aggregate(list_concat([''], words), 'string_agg', '')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines, length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS upper_, length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters
+  FROM w LEFT JOIN cov ON cov.doc_id = w.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > 3 * n_words OR (n_lines > 4 AND 10 * n_dup_lines > 3 * n_lines) OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+  OR (upper_ > 0 AND 10 * upper_ > 4 * letters) OR 10 * letters < 6 * word_chars) AS kept FROM s""",
+}

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_tables, hash_words, mix, repeats, shingles_of, slices, words_of
+from .common import byte_tables, hash_words, mix, repeats, shielded, shingles_of, slices, words_of
 
 #: Documents whose posteriors the scorers are fitted on, at most; hashed features; passes.
 SAMPLE, BUCKETS, EPOCHS = 6000, 1 << 18, 3
@@ -248,10 +248,11 @@ def _fit_on_sample(docs, labels, posteriors, n, most) -> dict[str, tuple[np.ndar
     return out
 
 
+@shielded()
 def score(docs: DataFrame, model: dict | None) -> DataFrame:
     """docs with bad_form, abuse (0 to 1) and kept."""
     shared = docs.sparkSession.sparkContext.broadcast(model and model["scorers"])
-    names = [c for c in docs.columns if c not in ("bad_form", "abuse", "kept")]
+    names = docs.columns
     at = names.index("text")
 
     def run(batches):
@@ -276,3 +277,9 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
 
 def classified(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     return score(docs, train(docs, labels))
+
+
+@shielded()
+def accepted(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """The documents that aren't rejected, with their own columns."""
+    return classified(docs, labels).filter("kept").select(*docs.columns)
