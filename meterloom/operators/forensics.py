@@ -70,9 +70,10 @@ def signal(df: DataFrame, value: str, series: Series) -> DataFrame:
     """One row: mean, deviation, coefficient of variation, signal to noise (plain and in dB), share of zeros, and the correlation of
     neighbours, pooled over all series. What has no meaning because a divisor is 0 is 0."""
     before = F.lag(value).over(Window.partitionBy(*series.keys).orderBy(series.time))
+    now = F.when(F.col("_before").isNotNull(), F.col(value))
     got = df.withColumn("_before", before).agg(
         F.count("*").alias("rows"), F.avg(value).alias("mean"), F.stddev(value).alias("std"), F.variance(value).alias("variance"),
-        F.count_if(F.col(value) == 0).alias("zeros"), F.corr(F.when(F.col("_before").isNotNull(), F.col(value)), F.col("_before")).alias("lag1"),
+        F.count_if(F.col(value) == 0).alias("zeros"), F.try_divide(F.covar_samp(now, F.col("_before")), F.stddev(now) * F.stddev("_before")).alias("lag1"),
     )
     ratio = lambda a, b: F.coalesce(F.when(F.col(b) > 0, F.try_divide(F.col(a), F.col(b))), F.lit(0.0))
     got = got.withColumns({"cv": ratio("std", "mean"), "snr": ratio("mean", "std"), "zero_pct": F.coalesce(share(F.col("zeros"), F.col("rows"), 100.0), F.lit(0.0))})
