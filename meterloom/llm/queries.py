@@ -97,6 +97,45 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op9_prefix_tree_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS l FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(l) >= 3 THEN list_transform(range(1, len(l) - 1), lambda i: l[i] || ' ' || l[i + 1] || ' ' || l[i + 2]) WHEN len(l) > 0 THEN [array_to_string(l, ' ')] ELSE [] END) AS sh FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_ FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * both_ >= 90 * (p.n + q.n - both_)),
+steps AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, steps.y FROM reach JOIN steps ON steps.x = reach.y)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id FROM w LEFT JOIN sizes ON sizes.doc_id = w.doc_id JOIN (SELECT x, min(y) AS c FROM reach GROUP BY 1) ON x = w.doc_id""",
+    "op4_url_templates": r"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hp AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+ruled AS (SELECT *, CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+  WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/' WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+  WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/' WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM hp),
+seg AS (SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS fit, list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''),
+  lambda s: CASE WHEN regexp_matches(regexp_replace(lower(s), '\.[a-z]{1,5}$', ''), '^[0-9]+$') THEN '{n}'
+  WHEN regexp_matches(regexp_replace(lower(s), '\.[a-z]{1,5}$', ''), '^[0-9a-f\-]{8,}$') AND regexp_matches(regexp_replace(lower(s), '\.[a-z]{1,5}$', ''), '[0-9]') THEN '{h}'
+  WHEN regexp_matches(regexp_replace(lower(s), '\.[a-z]{1,5}$', ''), '[0-9]') THEN '{a}' ELSE regexp_replace(lower(s), '\.[a-z]{1,5}$', '') END || regexp_extract(lower(s), '(\.[a-z]{1,5})$', 1)) AS l FROM ruled),
+flat AS (SELECT page_id, host, path, rule, fit, CASE WHEN len(l) > 3 THEN list_concat(l[1:2], [array_to_string(l[3:], '/')]) ELSE l END AS p FROM seg),
+g0 AS (SELECT host, p, p AS t, count(*) AS n, count_if(coalesce(fit = 'block', false)) AS bad, count_if(fit IS NOT NULL) AS labelled FROM flat GROUP BY ALL),
+lit1 AS (SELECT *, CAST([] AS VARCHAR[]) AS above, coalesce(len(t) >= 1 AND NOT contains(t[1], '{'), false) AS literal FROM g0),
+wide1 AS (SELECT host AS wh, above AS wa FROM (SELECT host, above, t[1] AS c, sum(n) AS n FROM lit1 WHERE literal GROUP BY ALL) GROUP BY ALL HAVING count(*) > 30 AND sum(n) < 3 * count(*)),
+g1 AS (SELECT host, p, n, bad, labelled, CASE WHEN literal AND wh IS NOT NULL THEN list_concat(list_concat(above, ['{*}']), t[2:]) ELSE t END AS t FROM lit1 LEFT JOIN wide1 ON wh = host AND wa = above),
+lit2 AS (SELECT *, t[1:1] AS above, coalesce(len(t) >= 2 AND NOT contains(t[2], '{'), false) AS literal FROM g1),
+wide2 AS (SELECT host AS wh, above AS wa FROM (SELECT host, above, t[2] AS c, sum(n) AS n FROM lit2 WHERE literal GROUP BY ALL) GROUP BY ALL HAVING count(*) > 30 AND sum(n) < 3 * count(*)),
+g2 AS (SELECT host, p, n, bad, labelled, CASE WHEN literal AND wh IS NOT NULL THEN list_concat(list_concat(above, ['{*}']), t[3:]) ELSE t END AS t FROM lit2 LEFT JOIN wide2 ON wh = host AND wa = above),
+lit3 AS (SELECT *, t[1:2] AS above, coalesce(len(t) >= 3 AND NOT contains(t[3], '{'), false) AS literal FROM g2),
+wide3 AS (SELECT host AS wh, above AS wa FROM (SELECT host, above, t[3] AS c, sum(n) AS n FROM lit3 WHERE literal GROUP BY ALL) GROUP BY ALL HAVING count(*) > 30 AND sum(n) < 3 * count(*)),
+g3 AS (SELECT host, p, n, bad, labelled, CASE WHEN literal AND wh IS NOT NULL THEN list_concat(list_concat(above, ['{*}']), t[4:]) ELSE t END AS t FROM lit3 LEFT JOIN wide3 ON wh = host AND wa = above),
+tree AS (SELECT host, t, sum(bad) AS bad, sum(labelled) AS labelled FROM g3 GROUP BY ALL),
+shape AS (SELECT t AS st, CAST(sum(bad) + 1 AS DOUBLE) / (sum(labelled) + 2) AS prior, sum(labelled) > 0 AS seen FROM tree GROUP BY t),
+own AS (SELECT tree.*, prior, seen, (bad + 4e0 * prior) / (labelled + 4e0) AS o, t[1] AS b, array_to_string(t[2:], '/') AS rest FROM tree JOIN shape ON st = t),
+branch AS (SELECT host AS bh, b AS bb, list_sort(list(DISTINCT rest)) AS below, sum(labelled) > 0 AS known, floor(avg(o) * 4 + 0.5e0) AS step FROM own GROUP BY ALL),
+alike AS (SELECT own.*, below, known, step FROM own JOIN branch ON bh = host AND bb IS NOT DISTINCT FROM b),
+pooled AS (SELECT host AS ph, below AS pb, known AS pk, step AS ps, rest AS pr, CASE WHEN max(seen) OR sum(labelled) > 0 THEN (sum(bad) + 4e0 * avg(prior)) / (sum(labelled) + 4e0) ELSE 0e0 END AS purity FROM alike GROUP BY ALL),
+known_ AS (SELECT host AS kh, t AS kt, purity FROM alike JOIN pooled ON ph = host AND pb = below AND pk = known AND ps = step AND pr = rest)
+SELECT page_id, flat.host, path, rule, coalesce(fit, CASE WHEN purity > 0.5e0 THEN 'block' ELSE 'allow' END) AS verdict, '/' || array_to_string(t, '/') AS template, round(purity, 6) AS purity
+FROM flat LEFT JOIN g3 ON g3.host = flat.host AND g3.p = flat.p LEFT JOIN known_ ON kh = g3.host AND kt = g3.t""",
     "op6_rule_cascade": r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),

@@ -333,11 +333,12 @@ def test_cascade_order():
     assert quality_rules.ordered({"cheap": (0.1, 0.1), "dear": (1.0, 0.2), "never": (0.1, 0.0)}) == ["cheap", "dear", "never"]
 
 
-def test_op6_matches_sql(spark):
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_matches_sql(spark, name):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    df, want = queries.op6_rule_cascade(spark, SF), con.sql(queries.ORACLE_SQL["op6_rule_cascade"])
+    df, want = queries.QUERIES[name](spark, SF), con.sql(queries.ORACLE_SQL[name])
     cols = sorted(df.columns)
     at = [want.columns.index(c) for c in cols]
     assert sorted(tuple(plain(r[c]) for c in cols) for r in df.collect()) == sorted(tuple(plain(r[i]) for i in at) for r in want.fetchall())
