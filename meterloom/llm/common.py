@@ -6,6 +6,7 @@ import functools
 import gc
 import sys
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -47,10 +48,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def batch_rows(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows that Spark hands to Python at a time from now on in this session. Texts may be long, and both sides hold a whole batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def release(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of plans that nothing refers to any more, as after a table was staged."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark remove the shuffle files of plans that nothing refers to any more, as after a table was staged. What the first
+    collection lets go of holds more that the second one finds."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def kept(key, make):

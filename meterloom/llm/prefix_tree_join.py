@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, mix, release, shielded, shingles_of, slices, staged, words_of
+from .common import batch_rows, components, mix, release, shielded, shingles_of, slices, staged, words_of
 
 #: Shingles in one block of a large cluster, about.
 BLOCK_SHINGLES = 400_000
@@ -75,6 +75,7 @@ def _first_part(values: np.ndarray, one_in: int) -> np.ndarray:
 
 def _members(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
     """(id, d, n, class) of each document; d tells texts of one id apart."""
+    batch_rows(docs.sparkSession)
 
     def run(batches):
         for b in batches:
@@ -132,7 +133,7 @@ def _frequent(docs: DataFrame, k: int, one_in: int, text: str) -> tuple[np.ndarr
 def _candidates(docs: DataFrame, k: int, num: int, den: int, one_in: int, text: str) -> DataFrame:
     """(s, class, meta, df): each class's shingles of the first part, and as many of the others as its prefix needs.
 
-    meta: prefix length, how many shingles are of the first part (PACK bits each), and 1 for a shingle of the others; df: classes that
+    meta: the set's size, how many of it are of the first part (PACK bits each), and 1 for a shingle of the others; df: classes that
     have the shingle, for frequent ones, else null. A task hands on a class once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, k, one_in, text))  # at most FREQUENT pairs
@@ -152,15 +153,15 @@ def _candidates(docs: DataFrame, k: int, num: int, den: int, one_in: int, text:
                     front = _first_part(v, one_in)
                     a = v[front]
                     rest = v[~front][: max(0, need - len(a))]
-                    held.append((np.concatenate([a, rest]), len(a), c, need))
+                    held.append((np.concatenate([a, rest]), len(a), c, len(v)))
                 if not held:
                     continue
                 sizes = np.array([len(x[0]) for x in held])
                 values = np.concatenate([x[0] for x in held]).view(np.int64)
-                firsts, classes, needs = (np.array([x[i] for x in held], np.int64) for i in (1, 2, 3))
+                firsts, classes, whole = (np.array([x[i] for x in held], np.int64) for i in (1, 2, 3))
                 within = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                firsts_, needs_ = np.repeat(firsts, sizes), np.repeat(needs, sizes)
-                cols = [values, np.repeat(classes, sizes), (needs_ << (PACK + 1)) | (firsts_ << 1) | (within >= firsts_)]
+                firsts_ = np.repeat(firsts, sizes)
+                cols = [values, np.repeat(classes, sizes), (np.repeat(whole, sizes) << (PACK + 1)) | (firsts_ << 1) | (within >= firsts_)]
                 if len(known):
                     at = np.minimum(np.searchsorted(known, values), len(known) - 1)
                     df = pa.array(counts[at], mask=known[at] != values)
@@ -221,32 +222,73 @@ def class_links(docs: DataFrame, members: DataFrame, k: int, num: int, den: int,
     spark = docs.sparkSession
     edges = _prefixes(docs, k, num, den, text)
     release(spark)
-    # clusters: the classes of a shingle all hang on the least of them
-    least = edges.groupBy("s").agg(F.min("class").alias("least"), F.count("*").alias("n")).filter("n > 1").select(F.col("s").alias("s2"), "least")
-    pairs = edges.join(least, F.col("s") == F.col("s2")).select(F.col("class").alias("a"), F.col("least").alias("b")).distinct()
-    cluster = staged(components(pairs).select(F.col("node").alias("class"), F.col("root").alias("cluster")), "clusters")
-    del least, pairs, edges
-    sets = staged(_sets_in(docs, cluster, k, text).join(cluster, "class"), "sets")
+    found = components(_hung(edges, num, den))
+    sizes = edges.select(F.col("class").alias("c"), "n").distinct()
+    clusters = staged(found.join(sizes, F.col("node") == F.col("c")).select(F.col("c").alias("class"), "n", F.col("root").alias("cluster")), "clusters")
+    del edges, found, sizes
     release(spark)
-    links = staged(_matched(sets, num, den), "links")
+    links = staged(_matched(_sets_in(docs, clusters, k, text), _meetings(clusters, num, den), num, den), "links")
     release(spark)
     return links
 
 
+def _band(num: int, den: int):
+    """A size's band: sizes that can link are in one band or in neighbouring ones. A little wider than the greatest ratio, so that
+    rounding never makes a link skip a band."""
+    wide = math.log(den / num) * 1.001 if num < den else 1e-9
+    return F.floor(F.log(F.col("n").cast("double")) / wide).cast("long")
+
+
 def _prefixes(docs: DataFrame, k: int, num: int, den: int, text: str) -> DataFrame:
-    """(class, s): the shingles of each class's prefix that another class has too, for classes that may have a partner."""
+    """(class, n, s): the shingles of each class's prefix that another class has too, for classes that may have a partner."""
     # the first part is some more than the longest prefix
     one_in = max(1, math.floor(den / (1.6 * (den - num)))) if num < den else 8
     df = _shared(_candidates(docs, k, num, den, one_in, text))
-    part, need, first = F.col("meta") % 2, F.shiftright("meta", PACK + 1), F.shiftright("meta", 1) % (1 << PACK)
+    part, n, first = F.col("meta") % 2, F.shiftright("meta", PACK + 1), F.shiftright("meta", 1) % (1 << PACK)
     shared = F.array_sort(F.collect_list(F.struct(part.alias("part"), "df", "s")))
-    per_class = df.groupBy("class").agg(F.first(need).alias("need"), F.first(first).alias("first"), shared.alias("x"))
+    per_class = df.groupBy("class").agg(F.first(n).alias("n"), F.first(first).alias("first"), shared.alias("x"))
+    need = F.expr(f"n - (n * {num} + {den - 1}) div {den} + 1")
     # shingles of the first part that nobody shares come first of all
     n_front = F.size(F.filter("x", lambda e: e["part"] == 0))
     alone = F.greatest(F.col("first") - n_front, F.lit(0))
-    wanted = F.greatest(F.col("need") - alone, F.lit(0)).cast("int")
-    prefix = per_class.withColumn("wanted", wanted).filter("wanted > 0").select("class", F.explode(F.slice("x", F.lit(1), F.col("wanted"))).alias("e"))
-    return staged(prefix.select("class", F.col("e.s").alias("s")), "prefixes")
+    wanted = F.greatest(need - alone, F.lit(0)).cast("int")
+    prefix = per_class.withColumn("wanted", wanted).filter("wanted > 0").select("class", "n", F.explode(F.slice("x", F.lit(1), F.col("wanted"))).alias("e"))
+    return staged(prefix.select("class", "n", F.col("e.s").alias("s")), "prefixes")
+
+
+def _hung(edges: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): classes that have a prefix shingle in common and sizes that may link, each hung on the least of its kind. Tasks hang
+    their own rows first and send on one for each shingle and band, so a common one is not hot."""
+    band = _band(num, den)
+    keyed = edges.select("class", F.explode(F.array(band, band + 1)).alias("band"), "s").select("class", F.xxhash64("s", "band").alias("key"))
+
+    def run(batches):
+        held, rows = [], 0
+        for b in batches:
+            held.append((b.column(0).to_numpy(), b.column(1).to_numpy()))
+            rows += b.num_rows
+            if rows >= 2_000_000:
+                yield hang(held)
+                held, rows = [], 0
+        if rows:
+            yield hang(held)
+
+    def hang(held):
+        c, key = (np.concatenate([x[i] for x in held]) for i in (0, 1))
+        order = np.lexsort((c, key))
+        c, key = c[order], key[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        least = np.repeat(c[starts], np.diff(np.append(starts, len(c))))
+        first = np.zeros(len(c), bool)
+        first[starts] = True
+        settled = ~first & (c != least)
+        keep = first | settled
+        deal = np.where(first, key, mix(c.view(np.uint64)).view(np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(deal[keep]), pa.array(c[keep]), pa.array(least[keep], mask=first[keep])], names=["deal", "a", "b"])
+
+    rows = keyed.mapInArrow(run, "deal long, a long, b long").repartition("deal")
+    rows = rows.withColumn("b", F.coalesce("b", F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("deal"))))
+    return rows.filter("a <> b").select("a", "b").distinct()
 
 
 def _sets_in(docs: DataFrame, cluster: DataFrame, k: int, text: str) -> DataFrame:
@@ -277,16 +319,14 @@ def _sets_in(docs: DataFrame, cluster: DataFrame, k: int, text: str) -> DataFram
     return docs.select(text).mapInArrow(run, "class long, v array<long>")
 
 
-def _matched(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): links among (class, v, cluster). Small clusters go to tasks several at a time; large ones are cut into bands of sizes
-    and blocks, and a task sees two blocks that can link."""
-    # a little wider than the sizes' greatest ratio, so that links never skip a band
-    wide = math.log(den / num) * 1.001 if num < den else 1e-9
-    rows = sets.withColumn("band", F.floor(F.log(F.size("v").cast("double")) / wide).cast("long"))
-    bands = rows.groupBy("cluster", "band").agg(F.sum(F.size("v")).alias("mass"))
+def _meetings(clusters: DataFrame, num: int, den: int) -> DataFrame:
+    """(class, m): the tasks that see a class. Small clusters go to tasks several at a time; large ones are cut into bands of sizes and
+    blocks, and a task sees two blocks that can link."""
+    rows = clusters.withColumn("band", _band(num, den))
+    bands = rows.groupBy("cluster", "band").agg(F.sum("n").alias("mass"))
     total = bands.groupBy(F.col("cluster").alias("c2")).agg(F.sum("mass").alias("all"))
     groups = int((total.filter(F.col("all") <= BLOCK_SHINGLES).agg(F.sum("all")).first()[0] or 0) // BLOCK_SHINGLES) + 1
-    groups = max(groups, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    groups = max(groups, int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     big = bands.join(total.filter(F.col("all") > BLOCK_SHINGLES), F.col("cluster") == F.col("c2"))
     big = big.select(F.col("cluster").alias("c3"), F.col("band").alias("b3"), F.ceil(F.col("mass") / BLOCK_SHINGLES).cast("long").alias("parts"))
     for name, step in (("above", -1), ("below", 1)):
@@ -309,7 +349,12 @@ def _matched(sets: DataFrame, num: int, den: int) -> DataFrame:
     down = others("below", lambda j: meeting(band - 1, j, band, part))
     together = F.array(F.struct(F.pmod(F.xxhash64("cluster"), F.lit(groups)).alias("c"), *[F.lit(-1).cast("long").alias(x) for x in ("lo", "i", "hi", "j")]))
     meetings = F.when(F.col("parts").isNull(), together).otherwise(F.concat(own, F.coalesce(up, none), F.coalesce(down, none)))
-    dealt = rows.select("class", "v", F.explode(meetings).alias("m")).select("m.*", "class", "v")
+    return rows.select("class", meetings.alias("m"))
+
+
+def _matched(sets: DataFrame, meetings: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): links among sets (class, v), found by the tasks that see them."""
+    dealt = sets.join(meetings, "class").select("class", "v", F.explode("m").alias("m")).select("m.*", "class", "v")
 
     def match(t: pa.Table) -> pa.Table:
         c = t.column("class").to_numpy()
