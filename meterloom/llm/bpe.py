@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import batch_rows, kept
 
 #: Most words that the lexicon takes, and that each task hands on as candidates.
 LEXICON_WORDS, TASK_WORDS = 60_000, 40_000
@@ -39,10 +39,23 @@ BLOCK_CHARS = 1 << 23
 _ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 
 
+def _unknown() -> regex.Pattern:
+    """Any one of the characters without a category."""
+    runs: list[list[int]] = []
+    for c in range(0x80, 0x110000):
+        if unicodedata.category(chr(c)) == "Cn":
+            if runs and runs[-1][1] == c - 1:
+                runs[-1][1] = c
+            else:
+                runs.append([c, c])
+    return regex.compile("[" + "".join(f"\\U{a:08x}-\\U{z:08x}" for a, z in runs) + "]")
+
+
 class Vocabulary:
     """A tokenizer file of the kind that marks word ends: vocabulary, merges, pattern and special tokens."""
 
     def __init__(self, spec: str):
+        self.spec, self.unknown, self._public = spec, kept("unknown characters", _unknown), None
         d = json.loads(spec)
         model = d["model"]
         steps = [x["type"] for x in d["normalizer"]["normalizers"]]
@@ -60,6 +73,7 @@ class Vocabulary:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         spare = iter(range(256, 512))
         chars = [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
+        self.byte_of = {c: b for b, c in enumerate(chars)}
         self.inner = np.array([vocab[c] for c in chars], np.int32)
         self.final = np.array([vocab[c + self.suffix] for c in chars], np.int32)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -182,6 +196,8 @@ class Vocabulary:
                 out += [part] if part in self.special else self.pieces(part)
             return out
         if not text.isascii():
+            if self.is_new(text):
+                return self.public().normalizer.normalize_str(text).split(" ")
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # lower-casing goes character by character, without the rule for a final sigma
@@ -189,8 +205,28 @@ class Vocabulary:
         return regex.split(r"[\t-\r \x85\xa0  -     　]+", text) if _ODD_SPACE.search(text) else text.split()
 
     def pre_tokens(self, piece: str) -> list[str]:
+        if self.is_new(piece):
+            return [bytes([self.byte_of[c] for c in x]).decode() for x, _ in self.public().pre_tokenizer.pre_tokenize_str(piece)]
         return self.pattern.findall(piece)
 
+    def is_new(self, text: str) -> bool:
+        """Whether a text has characters that this Python's tables don't know: versions of Unicode differ in them. For such texts alone
+        the public library's own tables are asked what is a letter, and what its lower case."""
+        if text.isascii():
+            return False
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.unknown.search(text) is not None
+        return False
+
+    def public(self):
+        if self._public is None:
+            from tokenizers import Tokenizer
+
+            self._public = Tokenizer.from_str(self.spec)
+        return self._public
+
     def decode(self, ids) -> str:
         """The tokens' strings joined by spaces, as the public library does for a file without a decoder."""
         return " ".join([self.tokens[i] for i in ids])
@@ -486,6 +522,7 @@ def frequent_words(docs: DataFrame, vocabulary_bytes, text: str, most: int = LEX
 
 def encode_decode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """Per document: id, n_tokens, ids_sha256, decoded_sha256 and, on request, ids and decoded text."""
+    batch_rows(docs.sparkSession, 4000)  # enough for blocks in which words repeat
     sc = docs.sparkSession.sparkContext
     with open(vocabulary_path, encoding="utf-8") as f:
         spec = f.read()
