@@ -45,7 +45,46 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._staged_at = path
+    _staged.add(path)
+    return out
+
+
+#: Staged tables of this process that are still there.
+_staged: set[str] = set()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    _staged.discard(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a staged table that nothing reads any more."""
+    _delete(df.sparkSession, df._staged_at)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Deletes all staged tables that are left, once the results that read them have been written."""
+    for path in list(_staged):
+        _delete(spark, path)
+
+
+def in_pieces(batch: pa.RecordBatch, rows: int = 100_000):
+    """A batch in slices, so that neither side holds all of it again on its way to Spark."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def arrays_of(column) -> list[np.ndarray]:
+    """A list column of an Arrow table as one array for each row."""
+    out: list[np.ndarray] = []
+    for chunk in column.chunks:
+        values, at = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        out += [values[a:z] for a, z in zip(at[:-1], at[1:], strict=True)]
+    return out
 
 
 def batch_rows(spark: SparkSession, rows: int = 1000) -> None:
@@ -232,11 +271,12 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         # large star: neighbours above a node point to its least one
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: neighbours below a node, and itself, point to the least of them
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
+        last, small = edges, large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(small, "a")
         edges = staged(
             joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "cc"
         )
+        discard(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

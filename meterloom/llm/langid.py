@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import arrays_of, batch_rows, kept
 
 #: Texts that the model is fitted on, at most; embeddings and their size; passes over the sample.
 SAMPLE, BUCKETS, DIMENSIONS, EPOCHS = 4000, 1 << 15, 16, 6
@@ -100,8 +100,8 @@ class Model:
         return z / z.sum(1, keepdims=True)
 
 
-def fit(samples: list[tuple[str, list[int], list[int]]], seed: int = 7) -> Model | None:
-    """samples: (language, buckets, counts) of texts, in a fixed order."""
+def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model | None:
+    """samples: (language, buckets, counts) of texts, in a fixed order; buckets and counts as arrays."""
     samples = [x for x in samples if x[0] is not None and len(x[1])]
     languages = sorted({x[0] for x in samples})
     if not languages:
@@ -111,7 +111,7 @@ def fit(samples: list[tuple[str, list[int], list[int]]], seed: int = 7) -> Model
     emb = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     out, bias = np.zeros((DIMENSIONS, k), np.float32), np.zeros(k, np.float32)
     y = np.array([languages.index(x[0]) for x in samples])
-    data = [(np.asarray(b), (np.asarray(c, np.float32) / sum(c))) for _, b, c in samples]
+    data = [(b, c.astype(np.float32) / np.float32(c.sum())) for _, b, c in samples]
     order = rng.permutation(len(samples))
     aside = order[: len(order) // 5] if len(order) >= 50 else order[:0]
     train = order[len(aside) :]
@@ -182,12 +182,12 @@ def sampled(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
 
 def train(docs: DataFrame, most: int = SAMPLE) -> Model | None:
     got = sampled(docs, most).toArrow()
-    col = lambda name: got.column(name).to_pylist()
-    return fit(list(zip(col("lang"), col("buckets"), col("counts"), strict=True)))
+    return fit(list(zip(got.column("lang").to_pylist(), arrays_of(got.column("buckets")), arrays_of(got.column("counts")), strict=True)))
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score, rejected."""
+    batch_rows(docs.sparkSession)
     docs = docs.select("doc_id", "text", "lang")
     model = model or train(docs)
     # plain values: what is broadcast is read without this package

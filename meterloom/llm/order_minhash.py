@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, mix
+from .common import batch_rows, kept, mix
 
 K, SKETCHES = 5, 24
 #: Hash values held at once; longer texts go through them one hash function at a time.
@@ -125,6 +125,8 @@ def against_edits(docs: DataFrame, k: int = K, sketches: int = SKETCHES) -> Data
     Ids that repeat follow each other in the order of their texts (null first).
     """
 
+    batch_rows(docs.sparkSession)
+
     def run(batches):
         pending: list = []  # rows whose next isn't known yet: at most the last one of a block
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_rows, components, mix, release, shielded, shingles_of, slices, staged, words_of
+from .common import batch_rows, components, discard, mix, release, shielded, shingles_of, slices, staged, words_of
 
 #: Shingles in one block of a large cluster, about.
 BLOCK_SHINGLES = 400_000
@@ -225,9 +225,11 @@ def class_links(docs: DataFrame, members: DataFrame, k: int, num: int, den: int,
     found = components(_hung(edges, num, den))
     sizes = edges.select(F.col("class").alias("c"), "n").distinct()
     clusters = staged(found.join(sizes, F.col("node") == F.col("c")).select(F.col("c").alias("class"), "n", F.col("root").alias("cluster")), "clusters")
+    discard(edges)
     del edges, found, sizes
     release(spark)
     links = staged(_matched(_sets_in(docs, clusters, k, text), _meetings(clusters, num, den), num, den), "links")
+    discard(clusters)
     release(spark)
     return links
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_tables, hash_words, mix, repeats, shielded, shingles_of, slices, words_of
+from .common import arrays_of, batch_rows, byte_tables, hash_words, mix, repeats, shielded, shingles_of, slices, words_of
 
 #: Documents whose posteriors the scorers are fitted on, at most; hashed features; passes.
 SAMPLE, BUCKETS, EPOCHS = 6000, 1 << 18, 3
@@ -140,7 +140,7 @@ def scorer_features(stats: np.ndarray, runs: np.ndarray, run_at: np.ndarray) ->
     return out
 
 
-def fit_scorer(rows: list[tuple[list[int], list[float], float]], l1: float = 8.0, seed: int = 3) -> np.ndarray:
+def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], l1: float = 8.0, seed: int = 3) -> np.ndarray:
     """Weights (the last is the bias) by follow-the-regularised-leader steps: L1 keeps words without bearing at exactly 0."""
     z, n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     alpha, beta, l2 = 0.2, 1.0, 1.0
@@ -149,10 +149,10 @@ def fit_scorer(rows: list[tuple[list[int], list[float], float]], l1: float = 8.0
         return np.where(np.abs(z[i]) <= l1, 0.0, -(z[i] - np.sign(z[i]) * l1) / ((beta + np.sqrt(n[i])) / alpha + l2))
 
     rng = np.random.default_rng(seed)
-    data = [(np.append(np.asarray(b, np.int64), BUCKETS), np.append(np.asarray(x, np.float64), 1.0), y) for b, x, y in rows]
     for _ in range(EPOCHS):
-        for k in rng.permutation(len(data)):
-            i, x, y = data[k]
+        for k in rng.permutation(len(rows)):
+            b, x, y = rows[k]
+            i, x = np.append(b.astype(np.int64), BUCKETS), np.append(x.astype(np.float64), 1.0)
             w = weights(i)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - y) * x
             step = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
@@ -188,6 +188,7 @@ def _voted(docs: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame | None = None, most: int = SAMPLE) -> dict | None:
     """Both aspects' label models over all documents, and scorers on a sample. The plain values that score() needs."""
+    batch_rows(docs.sparkSession)
     voted = _voted(docs)
     # given labels join the votes, not the texts
     if labels is None:
@@ -239,7 +240,7 @@ def _fit_on_sample(docs, labels, posteriors, n, most) -> dict[str, tuple[np.ndar
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, k) for x, k in zip(found, kinds, strict=True))], names=["h", "form", "abuse", "b", "w"])
 
     got = rows.mapInArrow(run, "h long, form double, abuse double, b array<int>, w array<float>").orderBy("h", F.xxhash64("b")).limit(most).toArrow()
-    b, w = got.column("b").to_pylist(), got.column("w").to_pylist()
+    b, w = arrays_of(got.column("b")), arrays_of(got.column("w"))
     out = {}
     for aspect in ("form", "abuse"):
         weights = fit_scorer([x for x in zip(b, w, got.column(aspect).to_pylist(), strict=True) if x[2] is not None])
