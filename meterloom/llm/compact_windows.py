@@ -1,14 +1,18 @@
 """Passages that repeat across documents, by compact windows.
 
 A document is the sequence of its 5-word shingles (A-Z lower-cased). For each of HASHES hash functions a Cartesian tree stands over
-the shingles' hash values: its node (l, c, r) stands for all subsequences within l..r that hold c, whose least value, and so whose
-signature, is that of c. Only nodes of at least the shortest passage's width are made, about 2 n / width of them. A passage that
-two documents share lies, under each function, in a node of either with the same signature.
-
-Signatures that several documents have are kept; where nodes of enough functions overlap is a candidate region. There the passages
-are verified exactly: a shingle counts as repeated if an earlier document (by id) has it in a region too, and a passage is a span
-of at least MIN_WORDS words of whose shingles so many are repeated that the Jaccard similarity is 0.8 or more (edits leave
-gaps). Its source is the earlier document that most of its shingles come from. The earliest copy itself is no repeat.
+the shingles' hash values: its node (l, c, r) stands for all subsequences within l..r that hold c, whose least value is that of c.
+Only nodes of at least the shortest passage's width are made, about 2 n / width of them. A passage that two documents share lies,
+under each function, in a node of either with the same shingle at c; and as it is wider than two half widths, it holds the shingle
+half a width to the left of c or the one half a width to the right. A node's signatures are c's shingle together with either of
+these, which keeps short common phrases from making candidates of all documents that have them.
+
+Signatures that several documents have are kept; the intervals of their nodes, no further from c than a passage's width, are a
+text's candidate regions where enough functions have one: each place of a passage lies in a piece of that width within it, and so in
+such an interval. There the passages are verified exactly: a shingle counts as repeated if an earlier document (by id) has it in a
+region too, and a passage is a span of at least MIN_WORDS words of whose shingles so many are repeated that the Jaccard similarity
+is 0.8 or more (edits leave gaps). Its source is the earlier document that most of its shingles come from. The earliest copy itself
+is no repeat. Exact repeats are all found; one with edits is missed where under every function an edit hits the signatures.
 
 No pairs of documents are made at any point: a passage in a third of all documents costs one row per document and signature, and
 tasks settle what they can among their own rows, so that a hot signature or shingle sends one row from each.
@@ -24,13 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, shielded, shingles_of, slices, staged, words_of
+from .common import batch_rows, in_pieces, mix, release, shielded, shingles_of, slices, staged, words_of
 
-K, MIN_WORDS, HASHES, ENOUGH = 5, 50, 4, 2
+K, MIN_WORDS, HASHES, ENOUGH = 5, 50, 2, 1
 #: Share of a passage's shingles that must be repeated: |A & B| / |A | B| >= 0.8 for parts of equal length.
 REPEATED = 8 / 9
 #: Most shingles between two repeated ones of one passage.
 GAP = 2 * K
+#: Of a span's places those divisible by this tell its source. An edit takes K shingles in a row, so a span keeps some of them.
+TELLING = 8
+#: Size of the regions up to which they are broadcast.
+BROADCAST_BYTES = 16 << 20
 #: Rows that a task settles among themselves.
 BLOCK_ROWS = 2_000_000
 #: Bits of the filter that keeps the second reading of the texts to documents that matter; 2 MB at every size.
@@ -73,61 +81,66 @@ def _shingles(column: pa.Array):
 
 
 def _signatures(rows: DataFrame, width: int, hashes: int) -> DataFrame:
-    """(sig, id, d, f, l, r, known, witness): nodes and their signatures; known: two documents of one task have it; witness: the one of
-    these rows that tells other tasks."""
+    """(deal, sig, d, node): signatures of nodes; node: l, r, function and whether two texts of one task have the signature, packed.
+    deal: the signature, but for rows whose signature is known to be shared: these are dealt by text, all but one that tells the
+    other tasks."""
     a = mix(np.arange(1, hashes + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    half = width // 2
 
     def run(batches):
         held: list[tuple] = []
         size = 0
         for b in batches:
-            ids, ds = b.column(0).to_numpy(), b.column(1).to_numpy()
+            ds = b.column(1).to_numpy()
             for i, s in _shingles(b.column(2)):
                 if len(s) < width:
                     continue
                 for f in range(hashes):
                     x = s * a[f]
                     x ^= x >> np.uint64(32)
-                    left, c, right = windows(x, width)
-                    held.append((mix(x[c] + a[f]), ids[i], ds[i], f, left, right))
-                    size += len(c)
+                    left, c, right = (np.array(y, np.int64) for y in windows(x, width))
+                    centre = mix(s[c] + a[f])
+                    node = np.maximum(left, c - width + 1) << 34 | np.minimum(right, c + width) << 4 | f << 1
+                    for side, at, inside in ((1, c - half, c - half >= left), (2, c + half, c + half < right)):
+                        sig = mix(centre[inside] * np.uint64(2 * side + 1) + s[at[inside]])
+                        held.append((sig, ds[i], node[inside]))
+                        size += len(sig)
                 if size >= BLOCK_ROWS:
-                    yield settled(held)
+                    yield from in_pieces(settled(held))
                     held, size = [], 0
         if held:
-            yield settled(held)
+            yield from in_pieces(settled(held))
 
     def settled(held):
-        n = np.array([len(x[0]) for x in held])
         sig = np.concatenate([x[0] for x in held]).view(np.int64)
-        ids, d = (np.repeat(np.array([x[j] for x in held], np.int64), n) for j in (1, 2))
-        f = np.repeat(np.array([x[3] for x in held], np.int8), n)
-        left, right = (np.array([y for x in held for y in x[j]], np.int32) for j in (4, 5))
-        order = np.lexsort((ids, sig))
-        s, i = sig[order], ids[order]
-        starts = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-        ends = np.append(starts[1:], len(s)) - 1
-        known, witness = np.zeros(len(sig), bool), np.zeros(len(sig), bool)
-        known[order] = np.repeat(i[starts] != i[ends], ends - starts + 1)
-        witness[order[starts]] = True
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (sig, ids, d, f, left, right, known, witness)], names=["sig", "id", "d", "f", "l", "r", "known", "witness"])
+        d = np.repeat(np.array([x[1] for x in held], np.int64), [len(x[0]) for x in held])
+        node = np.concatenate([x[2] for x in held])
+        order = np.lexsort((d, sig))
+        sig, d, node = sig[order], d[order], node[order]
+        starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        ends = np.append(starts[1:], len(sig)) - 1
+        known = np.repeat(d[starts] != d[ends], ends - starts + 1)
+        away = known.copy()
+        away[starts] = False
+        deal = np.where(away, mix(d.view(np.uint64) ^ mix(sig.view(np.uint64))).view(np.int64), sig)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (deal, sig, d, node | known)], names=["deal", "sig", "d", "node"])
 
-    return rows.mapInArrow(run, "sig long, id long, d long, f byte, l int, r int, known boolean, witness boolean")
+    return rows.mapInArrow(run, "deal long, sig long, d long, node long")
 
 
 def _regions(signatures: DataFrame, enough: int) -> DataFrame:
     """(d, regions): shingle ranges of each text that nodes of enough functions with shared signatures cover."""
-    dealt = signatures.withColumn("deal", F.when(F.expr("known and not witness"), F.xxhash64("d", "sig")).otherwise(F.col("sig")))
     w = Window.partitionBy("deal", "sig")
-    shared = dealt.repartition("deal").withColumns({"a": F.min("id").over(w), "z": F.max("id").over(w)}).filter("known or a <> z")
-    nodes = shared.groupBy("d").agg(F.collect_list(F.struct("f", "l", "r")).alias("x"))
+    shared = signatures.repartition("deal").withColumns({"a": F.min("d").over(w), "z": F.max("d").over(w)}).filter("node % 2 = 1 or a <> z")
+    nodes = shared.groupBy("d").agg(F.collect_set("node").alias("x"))
 
     def run(batches):
         for b in batches:
             d, regions = [], []
             x = b.column(1)
             offsets = x.offsets.to_numpy()
-            f, left, right = (x.values.field(i).to_numpy() for i in range(3))
+            node = x.values.to_numpy()
+            left, right, f = node >> 34, node >> 4 & ((1 << 30) - 1), node >> 1 & 7
             for i, key in enumerate(b.column(0).to_pylist()):
                 a, z = offsets[i], offsets[i + 1]
                 got = covered(f[a:z], left[a:z], right[a:z], enough)
@@ -160,7 +173,9 @@ def covered(f: np.ndarray, left: np.ndarray, right: np.ndarray, enough: int) ->
 
 
 def _in_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
-    """(s, id, d, p, least): shingles in regions; least: an earlier id of the same task that has it, else null."""
+    """Of shingles in regions. (deal, id, d, p): place p of a text; deal: the shingle, for which other tasks must be asked. (deal, id, d,
+    ps, places, sources): places whose shingle an earlier document of the same task has; of those divisible by TELLING, packed with
+    where it has it, and that document."""
     bits = F.pmod("d", F.lit(1 << FILTER_BITS))
     cells = regions.select((bits / 64).cast("int").alias("i"), F.call_function("shiftleft", F.lit(1).cast("long"), (bits % 64).cast("int")).alias("b")).groupBy("i").agg(F.bit_or("b").alias("b")).collect()
     table = np.zeros(1 << (FILTER_BITS - 6), np.int64)  # a fixed size, whatever the input
@@ -170,40 +185,34 @@ def _in_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
 
     def some(batches):
         bitmap = shared.value.view(np.uint64)
-        seen: set[int] = set()
         for b in batches:
             at = b.column(1).to_numpy() % (1 << FILTER_BITS)
-            hit = np.flatnonzero(bitmap[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
-            if not len(hit):
-                continue
-            part = b.take(pa.array(hit))
-            ids, ds = part.column(0).to_numpy(), part.column(1).to_numpy()
-            out: list = [[], [], []]
-            for i, s in _shingles(part.column(2)):
-                if int(ds[i]) not in seen:  # rows that repeat count once
-                    seen.add(int(ds[i]))
-                    for x, y in zip(out, (ids[i], ds[i], s.view(np.int64)), strict=True):
-                        x.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.int64()))], names=["id", "d", "v"])
-
-    wanted = rows.mapInArrow(some, "id long, d long, v array<long>").join(regions, "d").select("id", "d", "v", "regions")
+            yield b.filter(pa.array(bitmap[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) == 1))
+
+    # up to a checked size the regions go to the texts; beyond it, texts (smaller than their hashes) are shuffled to meet them
+    n, ends = regions.agg(F.count("*"), F.sum(F.size("regions"))).first()
+    near = F.broadcast(regions) if 32 * n + 4 * (ends or 0) <= BROADCAST_BYTES else regions
+    wanted = rows.mapInArrow(some, "id long, d long, t string").join(near, "d").select("id", "d", "t", "regions")
 
     def spread(batches):
-        held, size = [], 0
+        held, size, seen = [], 0, set()
         for b in batches:
-            v, g = b.column(2), b.column(3)
-            values, at = v.values.to_numpy(), v.offsets.to_numpy()
+            g = b.column(3)
             ends, to = g.values.to_numpy(), g.offsets.to_numpy()
-            for i, (x, d) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
+            ids, ds = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for i, v in _shingles(b.column(2)):
+                if ds[i] in seen:  # rows that repeat needn't be asked for twice
+                    continue
+                seen.add(ds[i])
                 own = ends[to[i] : to[i + 1]]
                 p = np.concatenate([np.arange(a, z, dtype=np.int32) for a, z in zip(own[0::2], own[1::2], strict=True)])
-                held.append((values[at[i] : at[i + 1]][p], x, d, p))
+                held.append((v[p].view(np.int64), ids[i], ds[i], p))
                 size += len(p)
                 if size >= BLOCK_ROWS:
-                    yield settled(held)
+                    yield from settled(held)
                     held, size = [], 0
         if held:
-            yield settled(held)
+            yield from settled(held)
 
     def settled(held):
         n = np.array([len(x[0]) for x in held])
@@ -212,71 +221,102 @@ def _in_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
         order = np.lexsort((p, ids, s))
         so, io = s[order], ids[order]
         starts = np.flatnonzero(np.concatenate([[True], so[1:] != so[:-1]]))
-        first = np.repeat(io[starts], np.diff(np.append(starts, len(so))))
-        least = np.empty(len(s), np.int64)
-        least[order] = first
-        # of an id's equal shingles too only one row looks for earlier documents elsewhere: the others follow it
-        return pa.RecordBatch.from_arrays([pa.array(s), pa.array(ids), pa.array(d), pa.array(p), pa.array(least, mask=least >= ids)], names=["s", "id", "d", "p", "least"])
-
-    return wanted.mapInArrow(spread, "s long, id long, d long, p int, least long")
+        n = np.diff(np.append(starts, len(so)))
+        least, place = np.empty(len(s), np.int64), np.empty(len(s), np.int64)
+        least[order], place[order] = np.repeat(io[starts], n), np.repeat(p[order][starts], n)
+        ask = np.flatnonzero(least >= ids)
+        # what is settled goes on as one row for each text
+        sizes = np.array([len(x[0]) for x in held])
+        known = [np.flatnonzero(least[a:z] < ids[a:z]) + a for a, z in zip(np.cumsum(sizes) - sizes, np.cumsum(sizes), strict=True)]
+        own = [i for i, k in enumerate(known) if len(k)]
+        some = [known[i][p[known[i]] % TELLING == 0] for i in own]
+        of = lambda j: np.array([held[i][j] for i in own], np.int64)
+        lists = [(pa.int32(), [p[known[i]] for i in own]), (pa.int64(), [p[k].astype(np.int64) << 32 | place[k] for k in some]), (pa.int64(), [least[k] for k in some])]
+        d_own = of(2)
+        names = ["deal", "id", "d", "p", "ps", "places", "sources"]
+        yield from in_pieces(pa.RecordBatch.from_arrays([pa.array(s[ask]), pa.array(ids[ask]), pa.array(d[ask]), pa.array(p[ask]), *(pa.nulls(len(ask), pa.list_(kind)) for kind, _ in lists)], names=names))
+        yield pa.RecordBatch.from_arrays([pa.array(mix(d_own.view(np.uint64)).view(np.int64)), pa.array(of(1)), pa.array(d_own), pa.nulls(len(own), pa.int32()), *(pa.array(x, pa.list_(kind)) for kind, x in lists)], names=names)
+
+    return wanted.mapInArrow(spread, "deal long, id long, d long, p int, ps array<int>, places array<long>, sources array<long>")
 
 
 def passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, hashes: int = HASHES, enough: int = ENOUGH) -> DataFrame:
-    """(id, d, spans): of each text with passages that an earlier document has, array of (start, end, source, repeated): words start to
+    """(id, d, spans): of each text with passages that an earlier document has, array of (start, end, source, at, repeated): words start to
     end - 1, the earlier document that most of it comes from, and how many of its shingles are repeated."""
+    batch_rows(docs.sparkSession)
     rows = _keyed(docs, key, text)
     width = min_words - K + 1
     regions = _regions(_signatures(rows, width, hashes), enough)
     regions = staged(regions, "regions")
-    found = _in_regions(rows, regions)
-    # what a task couldn't settle is looked up among all; a settled row is dealt by document, so that no shingle is hot
-    dealt = found.withColumn("deal", F.when(F.col("least").isNull(), F.col("s")).otherwise(F.xxhash64("d", "p"))).repartition("deal")
-    dealt = dealt.withColumn("first", F.coalesce("least", F.min("id").over(Window.partitionBy("deal", "s")))).filter("first < id")
-    seen = dealt.groupBy("id", "d").agg(F.collect_list(F.struct("p", "first")).alias("x"))
+    release(rows.sparkSession)
+    # what a task couldn't settle is looked up among all; it asks once for each shingle, so none is hot
+    dealt = _in_regions(rows, regions).repartition("deal")
+    asks = F.col("p").isNotNull()
+    first = F.min(F.when(asks, F.struct("id", "p"))).over(Window.partitionBy("deal"))
+    known = dealt.withColumn("first", first).filter("p is null or first.id < id")
+    tells = F.col("p") % TELLING == 0
+    packed = F.call_function("shiftleft", F.col("p").cast("long"), F.lit(32)) + F.col("first.p")
+    together = lambda one, many: F.concat(F.collect_list(one), F.flatten(F.collect_list(many)))
+    seen = known.groupBy("id", "d").agg(together("p", "ps").alias("x"), together(F.when(tells, packed), "places").alias("y"), together(F.when(tells, F.col("first.id")), "sources").alias("z"))
 
     def run(batches):
         for b in batches:
-            x = b.column(2)
-            at, p, source = x.offsets.to_numpy(), x.values.field(0).to_numpy(), x.values.field(1).to_numpy()
+            x, y = b.column(2), b.column(3)
+            at, to, every = x.offsets.to_numpy(), y.offsets.to_numpy(), x.values.to_numpy()
+            p, place, source = y.values.to_numpy() >> 32, y.values.to_numpy() & 0xFFFFFFFF, b.column(4).values.to_numpy()
             out = []
             for i in range(b.num_rows):
-                a, z = at[i], at[i + 1]
-                out.append(spans(p[a:z], source[a:z], width))
+                a, z = to[i], to[i + 1]
+                out.append(spans(every[at[i] : at[i + 1]], p[a:z], source[a:z], place[a:z], width))
             keep = pa.array(np.flatnonzero([bool(y) for y in out]))
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("source", pa.int64()), ("repeated", pa.int32())]))
+            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("source", pa.int64()), ("at", pa.int32()), ("repeated", pa.int32())]))
             yield pa.RecordBatch.from_arrays([b.column(0).take(keep), b.column(1).take(keep), pa.array([y for y in out if y], kind)], names=["id", "d", "spans"])
 
-    return seen.mapInArrow(run, "id long, d long, spans array<struct<start:int,end:int,source:long,repeated:int>>")
+    return seen.mapInArrow(run, "id long, d long, spans array<struct<start:int,end:int,source:long,at:int,repeated:int>>")
 
 
-def spans(p: np.ndarray, source: np.ndarray, width: int) -> list[dict]:
-    """Spans of repeated positions, gaps of up to GAP bridged while enough of the span stays repeated."""
+def spans(every: np.ndarray, p: np.ndarray, source: np.ndarray, place: np.ndarray, width: int) -> list[dict]:
+    """Spans of the repeated positions `every`, gaps of up to GAP bridged while enough of the span stays repeated. p, source, place: of
+    some of them, where the shingle stands in an earlier document. at: where the middle one of those that come from the source does."""
+    every = np.sort(every)
     order = np.argsort(p, kind="stable")
-    p, source = p[order], source[order]
-    new = np.flatnonzero(np.diff(p) > 1) + 1
-    first, last = p[np.concatenate([[0], new])].tolist(), p[np.append(new - 1, len(p) - 1)].tolist()
+    p, source, place = p[order], source[order], place[order]
+    new = np.flatnonzero(np.diff(every) > 1) + 1
+    first, last = every[np.concatenate([[0], new])].tolist(), every[np.append(new - 1, len(every) - 1)].tolist()
     out: list[list[int]] = []
     for a, z in zip(first, last, strict=True):
         n = z - a + 1
         if out and a - out[-1][1] - 1 <= GAP and out[-1][2] + n >= REPEATED * (z - out[-1][0] + 1):
-            out[-1][1] = z
-            out[-1][2] += n
+            out[-1][1:] = [z, out[-1][2] + n]
         else:
             out.append([a, z, n])
     result = []
     for a, z, n in out:
         if z - a + 1 >= width:
-            ids, counts = np.unique(source[np.searchsorted(p, a) : np.searchsorted(p, z, "right")], return_counts=True)
-            result.append({"start": a, "end": z + K, "source": int(ids[counts.argmax()]), "repeated": n})
+            i, j = np.searchsorted(p, a), np.searchsorted(p, z, "right")
+            told = {"source": None, "at": None}
+            if j > i:
+                ids, counts = np.unique(source[i:j], return_counts=True)
+                best = ids[counts.argmax()]
+                own = i + np.flatnonzero(source[i:j] == best)
+                told = {"source": int(best), "at": int(place[own[len(own) // 2]])}
+            result.append({"start": a, "end": z + K, "repeated": n} | told)
     return result
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """Per passage: key, start_word, end_word, n_words, source_id, similarity (Jaccard, with the gaps on either side)."""
-    got = passages(docs, key, text, min_words).select("id", F.explode("spans").alias("s"))
-    n = F.col("s.end") - F.col("s.start") - (K - 1)
-    back = lambda c: F.when(c != _NULL_ID, c)
-    return got.select(back(F.col("id")).alias(key), F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"), (F.col("s.end") - F.col("s.start")).alias("n_words"), back(F.col("s.source")).alias("source_id"), F.round(F.col("s.repeated") / (2 * n - F.col("s.repeated")), 6).alias("similarity"))
+    """Per passage: key, start_word, end_word, n_words, source_id, similarity (Jaccard, with the gaps on either side).
+
+    A task that settles rows among its own knows an earlier document, which may not be the earliest; where that document's own passage
+    comes from an earlier one still, that is the source.
+    """
+    found = staged(passages(docs, key, text, min_words).select("id", "d", F.explode("spans").alias("s")).select("id", "d", "s.*"), "passages")
+    other = found.select(F.col("id").alias("i2"), F.col("start").alias("a2"), F.col("end").alias("z2"), F.col("source").alias("earlier")).distinct()
+    hop = found.join(other, (F.col("source") == F.col("i2")) & (F.col("at") >= F.col("a2")) & (F.col("at") < F.col("z2")), "left")
+    got = hop.groupBy("id", "d", "start", "end", "repeated").agg(F.min(F.coalesce("earlier", "source")).alias("source"))
+    n = F.col("end") - F.col("start") - (K - 1)
+    back = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
+    return got.select(back("id").alias(key), F.col("start").alias("start_word"), F.col("end").alias("end_word"), (F.col("end") - F.col("start")).alias("n_words"), back("source").alias("source_id"), F.round(F.col("repeated") / (2 * n - F.col("repeated")), 6).alias("similarity"))
 
 
 @shielded()

@@ -194,7 +194,9 @@ def planted(seed, n=60):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_passages_by_brute_force(spark, seed):
+def test_passages_by_brute_force(spark, monkeypatch, seed):
+    """Also where regions are too large to broadcast."""
+    monkeypatch.setattr(compact_windows, "BROADCAST_BYTES", compact_windows.BROADCAST_BYTES * (seed % 2))
     rows, spans = planted(seed)
     found = compact_windows.repeated_passages(docs(spark, list(enumerate(rows))).repartition(3)).collect()
     want = {(d, start, start + n, first) for d, start, n, first in spans if d != first and n >= 50}
@@ -325,6 +327,12 @@ def test_shield(spark):
 
 def test_staged_tables_go_where_the_session_says(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(common, "shared_dir", lambda s: f"file://{tmp_path}")
-    assert common.staged(spark.range(3), "x").count() == 3 and list(tmp_path.iterdir())
+    one, two = (common.staged(spark.range(3), "x") for _ in range(2))
+    assert one.count() == 3 and len(list(tmp_path.glob("x-*"))) == 2
+    common.discard(one)
+    assert two.count() == 3 and len(list(tmp_path.glob("x-*"))) == 1
+    monkeypatch.setattr(common, "_staged", {two._staged_at})
+    common.sweep(spark)
+    assert not list(tmp_path.glob("x-*"))
     texts_ = pa.array(["a b", None])
     assert [x[1] for x in common.slices(texts_)] == [2]
