@@ -27,6 +27,7 @@ class ResamplePolicy:
     align: str = "epoch"
     energy_digits: int = 6
     ratio_digits: int = 4
+    mean_digits: int = 4
 
 
 def hourly(readings: DataFrame, policy: ResamplePolicy = ResamplePolicy(), series: Series = READINGS) -> DataFrame:
@@ -62,7 +63,7 @@ def derived(grouped: DataFrame, policy: ResamplePolicy) -> DataFrame:
     whole = F.col("n") >= policy.complete_at
     out = grouped.withColumns(
         {"window_start": F.col("w.start"), "window_end": F.col("w.end"), "sample_count": F.col("n"), "hourly_kwh": energy(F.col("energy") * (F.lit(float(policy.expected)) / F.col("n"))), "raw_kwh_sum": energy(F.col("energy"))}
-        | {f"mean_{c}": ratio(F.col(f"avg_{c}")) for c in ("voltage", "current", "freq")}
+        | {f"mean_{c}": F.round(F.col(f"avg_{c}"), policy.mean_digits) for c in ("voltage", "current", "freq")}
         | {f"{c}_ratio": ratio(F.col(f"{c}_n") / F.col("n")) for c in ("outage", "standby", "brownout", "spike")}
     )
     dark = F.col("outage_ratio") >= policy.outage_at

@@ -21,7 +21,7 @@ from .pipelines import Config
 
 
 CONFIG = Config(
-    hours=resample.ResamplePolicy(expected=4.0, complete_at=3, energy_digits=12, ratio_digits=10),
+    hours=resample.ResamplePolicy(expected=4.0, complete_at=3, energy_digits=12, ratio_digits=12, mean_digits=10),
     features=features.FeaturePolicy(digits=9, ratio_digits=9),
     survivor_order=("event_id",),
 )
@@ -86,10 +86,10 @@ SILVER_SQL = """silver AS (SELECT *, CASE WHEN voltage = 0 THEN 1 WHEN voltage >
 GOLD_SQL = """sums AS (SELECT district, meter_id, date_trunc('hour', ts) AS window_start, min(file_year) AS file_year, sum(t_kwh) AS e, count(*) AS n, avg(voltage) AS v,
   avg(current) AS i, avg(freq) AS f, sum(is_outage) AS o, sum(is_standby) AS s, sum(is_brownout) AS b, count_if(voltage > 270) AS p FROM silver GROUP BY ALL),
 gold AS (SELECT district, meter_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, file_year, round(e * (4e0 / n), 12) AS hourly_kwh, round(e, 12) AS raw_kwh_sum,
-  CAST(n AS INT) AS sample_count, round(v, 10) AS mean_voltage, round(i, 10) AS mean_current, round(f, 10) AS mean_freq, round(CAST(o AS DOUBLE) / n, 10) AS outage_ratio,
-  round(CAST(s AS DOUBLE) / n, 10) AS standby_ratio, round(CAST(b AS DOUBLE) / n, 10) AS brownout_ratio, round(CAST(p AS DOUBLE) / n, 10) AS spike_ratio,
-  CAST(n >= 3 AS INT) AS is_complete_hour, CAST(round(CAST(o AS DOUBLE) / n, 10) >= 0.5e0 AS INT) AS is_outage_hour,
-  CAST(n >= 3 AND round(CAST(o AS DOUBLE) / n, 10) < 0.5e0 AS INT) AS is_valid_forecast_target FROM sums)"""
+  CAST(n AS INT) AS sample_count, round(v, 10) AS mean_voltage, round(i, 10) AS mean_current, round(f, 10) AS mean_freq, round(CAST(o AS DOUBLE) / n, 12) AS outage_ratio,
+  round(CAST(s AS DOUBLE) / n, 12) AS standby_ratio, round(CAST(b AS DOUBLE) / n, 12) AS brownout_ratio, round(CAST(p AS DOUBLE) / n, 12) AS spike_ratio,
+  CAST(n >= 3 AS INT) AS is_complete_hour, CAST(round(CAST(o AS DOUBLE) / n, 12) >= 0.5e0 AS INT) AS is_outage_hour,
+  CAST(n >= 3 AND round(CAST(o AS DOUBLE) / n, 12) < 0.5e0 AS INT) AS is_valid_forecast_target FROM sums)"""
 FEATURE_SQL = """moved AS (SELECT *, hourly_kwh AS lag_0h, lag(hourly_kwh, 1) OVER w AS lag_1h, lag(hourly_kwh, 2) OVER w AS lag_2h, lag(hourly_kwh, 24) OVER w AS lag_24h,
   lag(hourly_kwh, 168) OVER w AS lag_168h, round(avg(hourly_kwh) OVER r, 9) AS rolling_mean_24h, round(stddev_samp(hourly_kwh) OVER r, 9) AS rolling_std_24h,
   round(max(hourly_kwh) OVER r, 9) AS rolling_max_24h, round(min(hourly_kwh) OVER r, 9) AS rolling_min_24h, round(avg(outage_ratio) OVER r, 9) AS rolling_outage_ratio_24h,
@@ -373,7 +373,7 @@ def q_voltage_bands(spark, d):
 
 
 _SIGNAL = """SELECT CAST(count(*) AS BIGINT) AS rows, round(avg(x), 9) AS mean, round(stddev_samp(x), 9) AS std, round(var_samp(x), 9) AS variance, CAST(count_if(x = 0) AS BIGINT) AS zeros,
-  round(corr(CASE WHEN b IS NOT NULL THEN x END, b), 7) AS lag1, round(stddev_samp(x) / avg(x), 9) AS cv, round(avg(x) / stddev_samp(x), 9) AS snr, count_if(x = 0) * 100e0 / count(*) AS zero_pct,
+  round(corr(CASE WHEN b IS NOT NULL THEN x END, b), 7) AS lag1, round(stddev_samp(x) / avg(x), 9) AS cv, round(avg(x) / stddev_samp(x), 9) AS snr, round(count_if(x = 0) * 100e0 / count(*), 9) AS zero_pct,
   round(20 * log10(avg(x) / stddev_samp(x)), 6) AS snr_db"""
 
 
@@ -564,7 +564,9 @@ def q_kmeans(spark, d):
 
 @query("q_linear")
 def q_linear(spark, d):
-    """Errors of the linear models on the validation split."""
+    """Errors of the linear models on the validation split; none without training rows."""
     rows = _features(spark, d)
+    if rows.filter("split = 'TRAIN' and is_valid_forecast_instance = 1").isEmpty():
+        return spark.createDataFrame([], "n long, rmse double, mae double, model string")
     val = rows.filter("split = 'VAL' and is_valid_forecast_instance = 1")
     return united([ml.errors(ml.trained(rows, kind).transform(val)).withColumn("model", F.lit(kind)) for kind in ("ols", "ridge", "elastic")])
