@@ -356,11 +356,12 @@ def _meetings(clusters: DataFrame, num: int, den: int) -> DataFrame:
 
 def _matched(sets: DataFrame, meetings: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): links among sets (class, v), found by the tasks that see them."""
-    dealt = sets.join(meetings, "class").select("class", "v", F.explode("m").alias("m")).select("m.*", "class", "v")
+    one = sets.groupBy("class").agg(F.first("v").alias("v"))  # several tasks may have handed on a class
+    dealt = one.join(meetings, "class").select("class", "v", F.explode("m").alias("m")).select("m.*", "class", "v")
 
     def match(t: pa.Table) -> pa.Table:
         c = t.column("class").to_numpy()
-        _, first = np.unique(c, return_index=True)  # several tasks may have handed on a class
+        first = np.argsort(c)
         v = t.column("v").combine_chunks()
         if isinstance(v, pa.ChunkedArray):
             v = v.chunk(0)
