@@ -2,17 +2,18 @@
 
 A document is the sequence of its 5-word shingles (A-Z lower-cased). For each of HASHES hash functions a Cartesian tree stands over
 the shingles' hash values: its node (l, c, r) stands for all subsequences within l..r that hold c, whose least value is that of c.
-Only nodes of at least the shortest passage's width are made, about 2 n / width of them. A passage that two documents share lies,
-under each function, in a node of either with the same shingle at c; and as it is wider than two half widths, it holds the shingle
-half a width to the left of c or the one half a width to the right. A node's signatures are c's shingle together with either of
-these, which keeps short common phrases from making candidates of all documents that have them.
-
-Signatures that several documents have are kept; the intervals of their nodes, no further from c than a passage's width, are a
-text's candidate regions where enough functions have one: each place of a passage lies in a piece of that width within it, and so in
-such an interval. There the passages are verified exactly: a shingle counts as repeated if an earlier document (by id) has it in a
+However a passage of 46 shingles and more is edited, at a Jaccard similarity of 0.8 it keeps a run of 21 in a row (see run_of), so
+only nodes of at least that width are made, about 2 n / 21 of them. A run that two documents share lies, under any function, in a node
+of either with the same shingle at c, so one function is enough; and as it is as wide as two half widths, it holds the shingle half a
+width to the left of c or the one half a width to the right. A node's signatures are c's shingle together with either of these,
+which keeps short common phrases from making candidates of all documents that have them.
+
+Signatures that several documents have are kept; the intervals of their nodes, no further from c than a run's width, hold all shared
+runs of that width. They and what lies about them, as far as a passage can reach that holds them (see reached), are a text's candidate
+regions. There the passages are verified exactly: a shingle counts as repeated if an earlier document (by id) has it in a
 region too, and a passage is a span of at least MIN_WORDS words of whose shingles so many are repeated that the Jaccard similarity
 is 0.8 or more (edits leave gaps). Its source is the earlier document that most of its shingles come from. The earliest copy itself
-is no repeat. Exact repeats are all found; one with edits is missed where under every function an edit hits the signatures.
+is no repeat. Exact repeats are all found, and edited ones wherever the edits are.
 
 No pairs of documents are made at any point: a passage in a third of all documents costs one row per document and signature, and
 tasks settle what they can among their own rows, so that a hot signature or shingle sends one row from each.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import batch_rows, in_pieces, mix, release, shielded, shingles_of, slices, staged, words_of
 
-K, MIN_WORDS, HASHES, ENOUGH = 5, 50, 2, 1
+K, MIN_WORDS, HASHES, ENOUGH = 5, 50, 1, 1
 #: Share of a passage's shingles that must be repeated: |A & B| / |A | B| >= 0.8 for parts of equal length.
 REPEATED = 8 / 9
 #: Most shingles between two repeated ones of one passage.
@@ -46,6 +47,14 @@ FILTER_BITS = 24
 _NULL_ID = -(1 << 63)
 
 
+def run_of(width: int) -> int:
+    """Shingles in a row that a passage of `width` and more shares with its source at a Jaccard similarity of 0.8, at least. An edit, be
+    it a word or a part moved, takes K - 1 shingles or more from either side, so with e edits there are e + 1 runs of 32 e shingles or
+    more (c / (c + 8 e) >= 0.8), and of width - 4 e or more; words that recur at an edit are not considered."""
+    lost = K - 1
+    return max(2, min(-(-max(8 * lost * e, width - lost * e) // (e + 1)) for e in range(width)))
+
+
 def windows(values: np.ndarray, width: int) -> tuple[list[int], list[int], list[int]]:
     """(l, c, r) of the Cartesian tree's nodes over l..r - 1 with r - l >= width; c holds the least value, the leftmost of equal ones."""
     left, least, right = [], [], []
@@ -128,8 +137,8 @@ def _signatures(rows: DataFrame, width: int, hashes: int) -> DataFrame:
     return rows.mapInArrow(run, "deal long, sig long, d long, node long")
 
 
-def _regions(signatures: DataFrame, enough: int) -> DataFrame:
-    """(d, regions): shingle ranges of each text that nodes of enough functions with shared signatures cover."""
+def _regions(signatures: DataFrame, enough: int, margin: int) -> DataFrame:
+    """(d, regions): shingle ranges of each text that passages can lie in; the last may end beyond the text."""
     w = Window.partitionBy("deal", "sig")
     shared = signatures.repartition("deal").withColumns({"a": F.min("d").over(w), "z": F.max("d").over(w)}).filter("node % 2 = 1 or a <> z")
     nodes = shared.groupBy("d").agg(F.collect_set("node").alias("x"))
@@ -143,7 +152,7 @@ def _regions(signatures: DataFrame, enough: int) -> DataFrame:
             left, right, f = node >> 34, node >> 4 & ((1 << 30) - 1), node >> 1 & 7
             for i, key in enumerate(b.column(0).to_pylist()):
                 a, z = offsets[i], offsets[i + 1]
-                got = covered(f[a:z], left[a:z], right[a:z], enough)
+                got = reached(covered(f[a:z], left[a:z], right[a:z], enough), margin)
                 if got:
                     d.append(key)
                     regions.append(got)
@@ -172,6 +181,20 @@ def covered(f: np.ndarray, left: np.ndarray, right: np.ndarray, enough: int) ->
     return out
 
 
+def reached(ranges: list[int], margin: int) -> list[int]:
+    """Ranges as far as passages reach that hold some of them. Beside shared runs stand others too short to be known, each 20 shingles
+    at most and an edit, together 28 or more of the union: with 20 / 28 of u shared the similarity is 0.8 for u up to 2.34 c. So what is
+    known reaches 5 / 2 of its length and a margin to either side; ranges that meet reach as far as their sum says."""
+    out: list[list[int]] = []  # first, last, known
+    for l, r in zip(ranges[0::2], ranges[1::2], strict=True):  # noqa: E741
+        one = [l, r, r - l]
+        while out and out[-1][1] + out[-1][2] * 5 // 2 + margin >= one[0] - one[2] * 5 // 2 - margin:
+            first, _, n = out.pop()
+            one = [first, r, n + one[2]]
+        out.append(one)
+    return [x for l, r, n in out for x in (max(0, l - n * 5 // 2 - margin), min(r + n * 5 // 2 + margin, (1 << 31) - 1))]  # noqa: E741
+
+
 def _in_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
     """Of shingles in regions. (deal, id, d, p): place p of a text; deal: the shingle, for which other tasks must be asked. (deal, id, d,
     ps, places, sources): places whose shingle an earlier document of the same task has; of those divisible by TELLING, packed with
@@ -205,7 +228,7 @@ def _in_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
                     continue
                 seen.add(ds[i])
                 own = ends[to[i] : to[i + 1]]
-                p = np.concatenate([np.arange(a, z, dtype=np.int32) for a, z in zip(own[0::2], own[1::2], strict=True)])
+                p = np.concatenate([np.arange(a, min(z, len(v)), dtype=np.int32) for a, z in zip(own[0::2], own[1::2], strict=True)])
                 held.append((v[p].view(np.int64), ids[i], ds[i], p))
                 size += len(p)
                 if size >= BLOCK_ROWS:
@@ -246,7 +269,7 @@ def passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words
     batch_rows(docs.sparkSession)
     rows = _keyed(docs, key, text)
     width = min_words - K + 1
-    regions = _regions(_signatures(rows, width, hashes), enough)
+    regions = _regions(_signatures(rows, run_of(width), hashes), enough, width)
     regions = staged(regions, "regions")
     release(rows.sparkSession)
     # what a task couldn't settle is looked up among all; it asks once for each shingle, so none is hot

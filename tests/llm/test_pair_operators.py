@@ -215,6 +215,29 @@ def test_edited_passages(spark):
     assert [(r.doc_id, r.start_word, r.end_word, r.source_id) for r in found] == [(2, 30, 130, 1)] and 0.8 <= found[0].similarity < 1
 
 
+def test_edits_at_every_place(spark):
+    """Passages of 50 words and more with words changed, at every place that leaves their ends, among random words."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10_000_000)}"
+    some = lambda n: [word() for _ in range(n)]
+    cases = [(50, [i]) for i in range(5, 45) for _ in range(8)] + [(60, [i]) for i in range(5, 55)] + [(100, [i, i + 30]) for i in range(20, 65)]
+    rows, want = [], set()
+    for n, (length, edits) in enumerate(cases):
+        passage, before = some(length), rng.randint(0, 60)
+        edited = [word() if i in edits else x for i, x in enumerate(passage)]
+        rows += [(n, " ".join(some(rng.randint(0, 60)) + passage + some(40))), (10_000 + n, " ".join(some(before) + edited + some(40)))]
+        want.add((10_000 + n, before, before + length, n))
+    found = {(r.doc_id, r.start_word, r.end_word, r.source_id) for r in compact_windows.repeated_passages(docs(spark, rows).repartition(5)).collect()}
+    assert sorted(want - found) == [] == sorted(found - want)
+
+
+def test_run_and_reach():
+    assert [compact_windows.run_of(n) for n in (46, 10, 96)] == [21, 10, 24]
+    assert compact_windows.reached([100, 110, 400, 410], 5) == [70, 140, 370, 440]
+    assert compact_windows.reached([100, 110, 150, 160, 215, 220], 5) == [33, 287]
+    assert compact_windows.reached([], 5) == []
+
+
 def test_a_passage_in_most_documents(spark, monkeypatch):
     """Also where tasks settle their rows in small blocks."""
     monkeypatch.setattr(compact_windows, "BLOCK_ROWS", 300)
