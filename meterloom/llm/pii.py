@@ -33,8 +33,9 @@ PATTERNS = {
     "card": r"(?<![\p{L}\p{N}])(?:[0-9]{4}([ \-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5}|[0-9]{13,19})(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}+])\+[0-9]{1,3}[ .\-]?[0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){2,4}(?![\p{L}\p{N}])",
 }
-#: A text without a match of this has no candidate; it spares most texts the patterns.
-_ANY = r"[0-9]{2}|@|[0-9a-f]{32}"
+#: A text without a match of this has no candidate; it spares most texts the patterns. Without two digits in a row, an address of four
+#: single ones is the only candidate of digits.
+_ANY = r"[0-9]{2}|@|[0-9a-f]{32}|[0-9]\.[0-9]\.[0-9]\.[0-9]"
 
 
 def _numbers(s: Column, alphabet: str) -> Column:

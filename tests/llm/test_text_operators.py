@@ -171,6 +171,29 @@ def test_what_isnt_valid_stays(spark, text):
     assert (r.text, r.n_pseudonyms) == (text, 0)
 
 
+ALONE = ["a@b.co", "a1" * 16, "ab" * 15 + "a1", "DE89 3704 0044 0532 0130 00", "2024-02-29", "31/12/1999", "01.02.2003", "8.8.8.8", "1.1.1.1", "1.2.3.4", "10.0.0.1", "078-05-1120", "4111111111111111", "(017) 555-7713", "+1 22 33 44"]
+
+
+def test_a_value_alone_is_found(spark):
+    """Also where nothing else of the text looks like personal data; the value gets the pseudonym that it has in any other text."""
+    rows = [(2 * i + j, text) for i, x in enumerate(ALONE) for j, text in enumerate((f"see {x} there", f"see {x} there and 1234567 or so"))]
+    out = {r.doc_id: r for r in pii.pseudonymised(docs(spark, rows)).collect()}
+    for i, x in enumerate(ALONE):
+        one, two = out[2 * i], out[2 * i + 1]
+        assert (one.n_pseudonyms, two.n_pseudonyms) == (1, 1) and x not in one.text
+        assert two.text == one.text + " and 1234567 or so"
+
+
+def test_the_prefilter_covers_the_patterns(spark):
+    """Random strings of the characters that candidates are made of."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(a) for _ in range(rng.randint(5, 12))) for a in ("12..", "1.+ -", "a@.b", "1-.") for _ in range(5000)]
+    pattern = "|".join(p.replace(r"\1", r"\k<sep>").replace(r"([ \-])", r"(?<sep>[ \-])") for p in pii.PATTERNS.values())
+    t = F.col("text")
+    hit = docs(spark, list(enumerate(texts))).filter(t.rlike(pattern))
+    assert hit.filter(~t.rlike(pii._ANY)).isEmpty() and not hit.isEmpty()
+
+
 def test_equal_values_stay_linked(spark):
     text = "a 10.20.30.40 b 10.20.30.40 c 10.20.30.41"
     one, two = replaced(spark, text).text.split(), replaced(spark, text).text.split()
