@@ -12,7 +12,7 @@ Signatures that several documents have are kept; the intervals of their nodes, n
 runs of that width. They and what lies about them, as far as a passage can reach that holds them (see reached), are a text's candidate
 regions. There the passages are verified exactly: a shingle counts as repeated if an earlier document (by id) has it in a
 region too, and a passage is a span of at least MIN_WORDS words of whose shingles so many are repeated that the Jaccard similarity
-is 0.8 or more (edits leave gaps). Its source is the earlier document that most of its shingles come from. The earliest copy itself
+is 0.8 or more (edits leave gaps, of any length that the similarity allows). Its source is the earlier document that most of its shingles come from. The earliest copy itself
 is no repeat. Exact repeats are all found, and edited ones wherever the edits are.
 
 No pairs of documents are made at any point: a passage in a third of all documents costs one row per document and signature, and
@@ -32,10 +32,11 @@ from pyspark.sql import functions as F
 from .common import batch_rows, in_pieces, mix, release, shielded, shingles_of, slices, staged, words_of
 
 K, MIN_WORDS, HASHES, ENOUGH = 5, 50, 1, 1
-#: Share of a passage's shingles that must be repeated: |A & B| / |A | B| >= 0.8 for parts of equal length.
-REPEATED = 8 / 9
-#: Most shingles between two repeated ones of one passage.
+#: Repeated shingles for each of the union that isn't: |A & B| / |A | B| >= 0.8.
+EACH = 4
+#: Shingles up to which a gap is an edit whatever stands in the source; across more, both sides must come from one document, in order.
 GAP = 2 * K
+_NEVER = 1 << 40
 #: Of a span's places those divisible by this tell its source. An edit takes K shingles in a row, so a span keeps some of them.
 TELLING = 8
 #: Size of the regions up to which they are broadcast.
@@ -197,8 +198,8 @@ def reached(ranges: list[int], margin: int) -> list[int]:
 
 def _in_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
     """Of shingles in regions. (deal, id, d, p): place p of a text; deal: the shingle, for which other tasks must be asked. (deal, id, d,
-    ps, places, sources): places whose shingle an earlier document of the same task has; of those divisible by TELLING, packed with
-    where it has it, and that document."""
+    places, sources, lengths): places whose shingle an earlier document of the same task has, packed with where it has it, and that
+    document; one entry for each run in which both places go up by one."""
     bits = F.pmod("d", F.lit(1 << FILTER_BITS))
     cells = regions.select((bits / 64).cast("int").alias("i"), F.call_function("shiftleft", F.lit(1).cast("long"), (bits % 64).cast("int")).alias("b")).groupBy("i").agg(F.bit_or("b").alias("b")).collect()
     table = np.zeros(1 << (FILTER_BITS - 6), np.int64)  # a fixed size, whatever the input
@@ -252,20 +253,27 @@ def _in_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
         sizes = np.array([len(x[0]) for x in held])
         known = [np.flatnonzero(least[a:z] < ids[a:z]) + a for a, z in zip(np.cumsum(sizes) - sizes, np.cumsum(sizes), strict=True)]
         own = [i for i, k in enumerate(known) if len(k)]
-        some = [known[i][p[known[i]] % TELLING == 0] for i in own]
+        runs = [known[i] for i in own]
+        cuts = [np.flatnonzero(np.concatenate([[True], (np.diff(p[k]) != 1) | (np.diff(place[k]) != 1) | (np.diff(least[k]) != 0)])) for k in runs]
+        heads = [k[c] for k, c in zip(runs, cuts, strict=True)]
         of = lambda j: np.array([held[i][j] for i in own], np.int64)
-        lists = [(pa.int32(), [p[known[i]] for i in own]), (pa.int64(), [p[k].astype(np.int64) << 32 | place[k] for k in some]), (pa.int64(), [least[k] for k in some])]
+        lists = [
+            (pa.int64(), [p[k].astype(np.int64) << 32 | place[k] for k in heads]),
+            (pa.int64(), [least[k] for k in heads]),
+            (pa.int32(), [np.diff(np.append(c, len(k))).astype(np.int32) for k, c in zip(runs, cuts, strict=True)]),
+        ]
         d_own = of(2)
-        names = ["deal", "id", "d", "p", "ps", "places", "sources"]
+        names = ["deal", "id", "d", "p", "places", "sources", "lengths"]
         yield from in_pieces(pa.RecordBatch.from_arrays([pa.array(s[ask]), pa.array(ids[ask]), pa.array(d[ask]), pa.array(p[ask]), *(pa.nulls(len(ask), pa.list_(kind)) for kind, _ in lists)], names=names))
         yield pa.RecordBatch.from_arrays([pa.array(mix(d_own.view(np.uint64)).view(np.int64)), pa.array(of(1)), pa.array(d_own), pa.nulls(len(own), pa.int32()), *(pa.array(x, pa.list_(kind)) for kind, x in lists)], names=names)
 
-    return wanted.mapInArrow(spread, "deal long, id long, d long, p int, ps array<int>, places array<long>, sources array<long>")
+    return wanted.mapInArrow(spread, "deal long, id long, d long, p int, places array<long>, sources array<long>, lengths array<int>")
 
 
 def passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, hashes: int = HASHES, enough: int = ENOUGH) -> DataFrame:
-    """(id, d, spans): of each text with passages that an earlier document has, array of (start, end, source, at, repeated): words start to
-    end - 1, the earlier document that most of it comes from, and how many of its shingles are repeated."""
+    """(id, d, spans): of each text with passages that an earlier document has, array of (start, end, source, at, repeated, union): words
+    start to end - 1, the earlier document that most of it comes from, how many of its shingles are repeated, and how many it and its
+    source have together."""
     batch_rows(docs.sparkSession)
     rows = _keyed(docs, key, text)
     width = min_words - K + 1
@@ -277,53 +285,92 @@ def passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words
     asks = F.col("p").isNotNull()
     first = F.min(F.when(asks, F.struct("id", "p"))).over(Window.partitionBy("deal"))
     known = dealt.withColumn("first", first).filter("p is null or first.id < id")
-    tells = F.col("p") % TELLING == 0
     packed = F.call_function("shiftleft", F.col("p").cast("long"), F.lit(32)) + F.col("first.p")
-    together = lambda one, many: F.concat(F.collect_list(one), F.flatten(F.collect_list(many)))
-    seen = known.groupBy("id", "d").agg(together("p", "ps").alias("x"), together(F.when(tells, packed), "places").alias("y"), together(F.when(tells, F.col("first.id")), "sources").alias("z"))
+    together = lambda one, many: F.concat(F.collect_list(F.when(asks, one)), F.flatten(F.collect_list(many)))
+    seen = known.groupBy("id", "d").agg(together(packed, "places").alias("x"), together(F.col("first.id"), "sources").alias("y"), F.flatten(F.collect_list("lengths")).alias("z"))
 
     def run(batches):
         for b in batches:
-            x, y = b.column(2), b.column(3)
-            at, to, every = x.offsets.to_numpy(), y.offsets.to_numpy(), x.values.to_numpy()
-            p, place, source = y.values.to_numpy() >> 32, y.values.to_numpy() & 0xFFFFFFFF, b.column(4).values.to_numpy()
+            x, z = b.column(2), b.column(4)
+            at, to, lengths = x.offsets.to_numpy(), z.offsets.to_numpy(), z.values.to_numpy()
+            places, sources = x.values.to_numpy(), b.column(3).values.to_numpy()
             out = []
             for i in range(b.num_rows):
-                a, z = to[i], to[i + 1]
-                out.append(spans(every[at[i] : at[i + 1]], p[a:z], source[a:z], place[a:z], width))
+                own = slice(at[i], at[i + 1])
+                # single places stand before runs
+                n = np.concatenate([np.ones(at[i + 1] - at[i] - (to[i + 1] - to[i]), np.int64), lengths[to[i] : to[i + 1]]])
+                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                out.append(spans(np.repeat(places[own] >> 32, n) + step, np.repeat(sources[own], n), np.repeat(places[own] & 0xFFFFFFFF, n) + step, width))
             keep = pa.array(np.flatnonzero([bool(y) for y in out]))
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("source", pa.int64()), ("at", pa.int32()), ("repeated", pa.int32())]))
+            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("source", pa.int64()), ("at", pa.int32()), ("repeated", pa.int32()), ("union", pa.int32())]))
             yield pa.RecordBatch.from_arrays([b.column(0).take(keep), b.column(1).take(keep), pa.array([y for y in out if y], kind)], names=["id", "d", "spans"])
 
-    return seen.mapInArrow(run, "id long, d long, spans array<struct<start:int,end:int,source:long,at:int,repeated:int>>")
+    return seen.mapInArrow(run, "id long, d long, spans array<struct<start:int,end:int,source:long,at:int,repeated:int,union:int>>")
 
 
-def spans(every: np.ndarray, p: np.ndarray, source: np.ndarray, place: np.ndarray, width: int) -> list[dict]:
-    """Spans of the repeated positions `every`, gaps of up to GAP bridged while enough of the span stays repeated. p, source, place: of
-    some of them, where the shingle stands in an earlier document. at: where the middle one of those that come from the source does."""
-    every = np.sort(every)
-    order = np.argsort(p, kind="stable")
+def _lines(source: np.ndarray, shift: np.ndarray) -> dict[int, tuple[int, int]]:
+    """source -> (how many, shift) of the most frequent of its shifts, where a run's places in the source are less its own."""
+    out: dict[int, tuple[int, int]] = {}
+    order = np.lexsort((shift, source))
+    source, shift = source[order], shift[order]
+    starts = np.flatnonzero(np.concatenate([[True], (np.diff(source) != 0) | (np.diff(shift) != 0)]))
+    for k, n in zip(starts.tolist(), np.diff(np.append(starts, len(source))).tolist(), strict=True):
+        one = int(source[k])
+        if n > out.get(one, (0, 0))[0]:
+            out[one] = (n, int(shift[k]))
+    return out
+
+
+def _furthest(n: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+    """For each run the last one up to which the runs' shingles are EACH times those in the gaps between them, or more."""
+    paid = EACH * np.concatenate([[0], np.cumsum(gaps)])
+    ends = np.cumsum(n) - paid
+    best = np.maximum.accumulate(ends[::-1])[::-1]
+    return len(n) - 1 - np.searchsorted(best[::-1], ends - n)
+
+
+def spans(p: np.ndarray, source: np.ndarray, place: np.ndarray, width: int) -> list[dict]:
+    """All longest spans of the repeated positions p with a similarity of 0.8; they may overlap. source, place: where a position's
+    shingle stands in an earlier document. In a gap of more than GAP the source's part has as many shingles as positions there say; in
+    others as many as the span, or fewer where positions say so. at: where the middle one of those that come from the source does."""
+    order = np.lexsort((place, source, p))
+    order = order[np.concatenate([[True], np.diff(p[order]) != 0])] if len(order) else order
     p, source, place = p[order], source[order], place[order]
-    new = np.flatnonzero(np.diff(every) > 1) + 1
-    first, last = every[np.concatenate([[0], new])].tolist(), every[np.append(new - 1, len(every) - 1)].tolist()
-    out: list[list[int]] = []
-    for a, z in zip(first, last, strict=True):
-        n = z - a + 1
-        if out and a - out[-1][1] - 1 <= GAP and out[-1][2] + n >= REPEATED * (z - out[-1][0] + 1):
-            out[-1][1:] = [z, out[-1][2] + n]
-        else:
-            out.append([a, z, n])
-    result = []
-    for a, z, n in out:
-        if z - a + 1 >= width:
-            i, j = np.searchsorted(p, a), np.searchsorted(p, z, "right")
-            told = {"source": None, "at": None}
-            if j > i:
-                ids, counts = np.unique(source[i:j], return_counts=True)
-                best = ids[counts.argmax()]
-                own = i + np.flatnonzero(source[i:j] == best)
-                told = {"source": int(best), "at": int(place[own[len(own) // 2]])}
-            result.append({"start": a, "end": z + K, "repeated": n} | told)
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(p) > 1])) if len(p) else order
+    tails = np.append(heads[1:], len(p)) - 1
+    first, last, n = p[heads], p[tails], tails - heads + 1
+    gaps = first[1:] - last[:-1] - 1
+    # whatever the source's gaps are, further than this nothing is joined
+    far = _furthest(n, gaps)
+    if not len(p) or (last[far] - first + 1).max() < width:
+        return []
+    there = np.where(gaps > GAP, _NEVER, gaps)
+    joined = np.unique(np.concatenate([np.arange(i, j + 1) for i, j in enumerate(far.tolist()) if j > i and last[j] - first[i] + 1 >= width] or [np.zeros(0, np.int64)]))
+    lines = {k: _lines(source[heads[k] : tails[k] + 1], place[heads[k] : tails[k] + 1] - p[heads[k] : tails[k] + 1]) for k in joined.tolist()}
+    for k in range(len(gaps)):
+        here, after = lines.get(k, {}), lines.get(k + 1, {})
+        both = [(min(here[x][0], after[x][0]), after[x][1] - here[x][1]) for x in here.keys() & after.keys()]
+        if both:
+            shift = max(both)[1]
+            if shift >= -gaps[k] and (shift < 0 or gaps[k] > GAP):
+                there[k] = gaps[k] + shift
+    result, done = [], -1
+    for i, j in enumerate(_furthest(n, gaps + there).tolist()):
+        a, z = int(first[i]), int(last[j])
+        if j <= done or z - a + 1 < width:
+            continue
+        done = j
+        own = slice(heads[i], tails[j] + 1)
+        told = {"source": None, "at": None}
+        tell = p[own] % TELLING == 0
+        if tell.any():
+            from_, at = source[own][tell], place[own][tell]
+            ids, counts = np.unique(from_, return_counts=True)
+            best = ids[counts.argmax()]
+            own_at = at[from_ == best]
+            told = {"source": int(best), "at": int(own_at[len(own_at) // 2])}
+        repeated = int(n[i : j + 1].sum())
+        result.append({"start": a, "end": z + K, "repeated": repeated, "union": repeated + int((gaps + there)[i:j].sum())} | told)
     return result
 
 
@@ -336,10 +383,9 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     found = staged(passages(docs, key, text, min_words).select("id", "d", F.explode("spans").alias("s")).select("id", "d", "s.*"), "passages")
     other = found.select(F.col("id").alias("i2"), F.col("start").alias("a2"), F.col("end").alias("z2"), F.col("source").alias("earlier")).distinct()
     hop = found.join(other, (F.col("source") == F.col("i2")) & (F.col("at") >= F.col("a2")) & (F.col("at") < F.col("z2")), "left")
-    got = hop.groupBy("id", "d", "start", "end", "repeated").agg(F.min(F.coalesce("earlier", "source")).alias("source"))
-    n = F.col("end") - F.col("start") - (K - 1)
+    got = hop.groupBy("id", "d", "start", "end", "repeated", "union").agg(F.min(F.coalesce("earlier", "source")).alias("source"))
     back = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
-    return got.select(back("id").alias(key), F.col("start").alias("start_word"), F.col("end").alias("end_word"), (F.col("end") - F.col("start")).alias("n_words"), back("source").alias("source_id"), F.round(F.col("repeated") / (2 * n - F.col("repeated")), 6).alias("similarity"))
+    return got.select(back("id").alias(key), F.col("start").alias("start_word"), F.col("end").alias("end_word"), (F.col("end") - F.col("start")).alias("n_words"), back("source").alias("source_id"), F.round(F.col("repeated") / F.col("union"), 6).alias("similarity"))
 
 
 @shielded()

@@ -231,6 +231,33 @@ def test_edits_at_every_place(spark):
     assert sorted(want - found) == [] == sorted(found - want)
 
 
+@pytest.mark.parametrize("length", [98, 130])
+def test_insertions_and_deletions(spark, length):
+    """Of 5 to 15 words in the middle and elsewhere, as far as the similarity is 0.8; also a changed word close to either end."""
+    rng = random.Random(length)
+    word = lambda: f"w{rng.randrange(10_000_000)}"
+    some = lambda n: [word() for _ in range(n)]
+    rows, want, n = [], {}, 0
+    for w in range(5, 16):
+        for at in (length // 2, length // 3, 10):
+            for kind in ("in", "out"):
+                passage, before = some(length), some(rng.randint(0, 60))
+                edited = passage[:at] + some(w) + passage[at:] if kind == "in" else passage[:at] + passage[at + w :]
+                a, b = (shingles(" ".join(x), 5) for x in (passage, edited))
+                rows += [(n, " ".join(some(30) + passage + some(30))), (10_000 + n, " ".join(before + edited + some(30)))]
+                if len(a & b) >= 0.8 * len(a | b):
+                    want[10_000 + n] = (len(before), len(before) + len(edited), round(len(a & b) / len(a | b), 6) if kind == "in" else None)
+                n += 1
+    for i in range(5, 65):
+        passage = some(100)
+        edited = [word() if j in (i, i + 30) else x for j, x in enumerate(passage)]
+        rows += [(n, " ".join(passage + some(30))), (10_000 + n, " ".join(edited + some(30)))]
+        want[10_000 + n] = (0, 100, round(86 / 106, 6))
+        n += 1
+    found = {r.doc_id: (r.start_word, r.end_word, r.similarity if i is None or want.get(i, (0, 0, None))[2] else None) for r in compact_windows.repeated_passages(docs(spark, rows).repartition(5)).collect() for i in [r.doc_id]}
+    assert {i: x for i, x in want.items() if found.get(i) != x} == {} and len(want) > 100
+
+
 def test_run_and_reach():
     assert [compact_windows.run_of(n) for n in (46, 10, 96)] == [21, 10, 24]
     assert compact_windows.reached([100, 110, 400, 410], 5) == [70, 140, 370, 440]
