@@ -37,8 +37,6 @@ EACH = 4
 #: Shingles up to which a gap is an edit whatever stands in the source; across more, both sides must come from one document, in order.
 GAP = 2 * K
 _NEVER = 1 << 40
-#: Of a span's places those divisible by this tell its source. An edit takes K shingles in a row, so a span keeps some of them.
-TELLING = 8
 #: Size of the regions up to which they are broadcast.
 BROADCAST_BYTES = 16 << 20
 #: Rows that a task settles among themselves.
@@ -361,16 +359,11 @@ def spans(p: np.ndarray, source: np.ndarray, place: np.ndarray, width: int) -> l
             continue
         done = j
         own = slice(heads[i], tails[j] + 1)
-        told = {"source": None, "at": None}
-        tell = p[own] % TELLING == 0
-        if tell.any():
-            from_, at = source[own][tell], place[own][tell]
-            ids, counts = np.unique(from_, return_counts=True)
-            best = ids[counts.argmax()]
-            own_at = at[from_ == best]
-            told = {"source": int(best), "at": int(own_at[len(own_at) // 2])}
+        ids, counts = np.unique(source[own], return_counts=True)
+        best = ids[counts.argmax()]
+        at = place[own][source[own] == best]
         repeated = int(n[i : j + 1].sum())
-        result.append({"start": a, "end": z + K, "repeated": repeated, "union": repeated + int((gaps + there)[i:j].sum())} | told)
+        result.append({"start": a, "end": z + K, "repeated": repeated, "union": repeated + int((gaps + there)[i:j].sum()), "source": int(best), "at": int(at[len(at) // 2])})
     return result
 
 

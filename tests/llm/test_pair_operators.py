@@ -258,6 +258,14 @@ def test_insertions_and_deletions(spark, length):
     assert {i: x for i, x in want.items() if found.get(i) != x} == {} and len(want) > 100
 
 
+def test_every_shingle_tells_the_source():
+    """22 shingles of document 1 and 24 of document 2; of the places divisible by 8, three are of the first and two of the second."""
+    p = np.arange(1, 47)
+    source = np.where((p >= 4) & (p <= 25), 1, 2)
+    (got,) = compact_windows.spans(p, source, p + 100, 46)
+    assert (got["start"], got["end"], got["repeated"], got["source"], got["at"]) == (1, 51, 46, 2, 135)
+
+
 def test_run_and_reach():
     assert [compact_windows.run_of(n) for n in (46, 10, 96)] == [21, 10, 24]
     assert compact_windows.reached([100, 110, 400, 410], 5) == [70, 140, 370, 440]
