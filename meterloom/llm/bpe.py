@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_rows, kept
+from .common import batch_rows, gathered, kept
 
 #: Most words that the lexicon takes, and that each task hands on as candidates.
 LEXICON_WORDS, TASK_WORDS = 60_000, 40_000
@@ -522,7 +522,7 @@ def frequent_words(docs: DataFrame, vocabulary_bytes, text: str, most: int = LEX
 
 def encode_decode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """Per document: id, n_tokens, ids_sha256, decoded_sha256 and, on request, ids and decoded text."""
-    batch_rows(docs.sparkSession, 4000)  # enough for blocks in which words repeat
+    batch_rows(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     with open(vocabulary_path, encoding="utf-8") as f:
         spec = f.read()
@@ -533,7 +533,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_i
 
     def run(batches):
         enc = worker_encoder(shared_spec, block)
-        for b in batches:
+        for b in gathered(batches):  # enough for blocks in which words repeat
             at = 0
             for n, ids_text, decoded, ids in enc.blocks(_texts(b.column(1)), keep_ids):
                 cols = [b.column(0).slice(at, len(n)), pa.array(n, pa.int64()), pa.array(sha256_each(ids_text), pa.string()), pa.array(sha256_each(decoded), pa.string())]

@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 import functools
-import gc
 import sys
 import tempfile
-import time
 import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes that separate words: space and 0x09 to 0x0D.
 SPACES = bytes([9, 10, 11, 12, 13, 32])
 #: Bytes of text that the vectorised functions hold at once; a longer text is held alone.
 SLICE_BYTES = 1 << 20
+#: Edges that one task takes at the end of components: some 100 MB there.
+FINISH = 1_000_000
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -27,26 +27,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share, as spark.checkpoint.dir names it. Where it names none, a temporary folder serves local
+    sessions, as in tests; on a cluster that is an error, as executors couldn't see it."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     path = "file://" + tempfile.mkdtemp(prefix="meterloom-")
     sc.setCheckpointDir(path)
     return path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written once as a table in the shared folder and read again: lineage ends there, and a lost executor costs nothing."""
+#: Whether Spark deletes a query's shuffle files when it ends, instead of when the driver next collects garbage.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, name: str, **observed) -> DataFrame:
+    """df written once as a table in the shared folder and read again: lineage ends there, and a lost executor costs nothing. Its shuffle
+    files are deleted once it stands. observed: aggregates, whose values the table has as `observed`; they cost no job of their own."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    seen = Observation() if observed else None
+    if seen:
+        df = df.observe(seen, *[x.alias(k) for k, x in observed.items()])
+    was = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN_UP) if was is None else spark.conf.set(_CLEAN_UP, was)
     out = spark.read.schema(schema).parquet(path)
     out._staged_at = path
+    out.observed = seen.get if seen else {}
     _staged.add(path)
     return out
 
@@ -66,6 +83,17 @@ def discard(df: DataFrame) -> None:
     _delete(df.sparkSession, df._staged_at)
 
 
+def mark() -> frozenset[str]:
+    """For discard_since: the tables that there are."""
+    return frozenset(_staged)
+
+
+def discard_since(before: frozenset[str], but: DataFrame) -> None:
+    """Deletes the tables staged since mark(), apart from one, once nothing reads them."""
+    for path in _staged - before - {but._staged_at}:
+        _delete(but.sparkSession, path)
+
+
 def sweep(spark: SparkSession) -> None:
     """Deletes all staged tables that are left, once the results that read them have been written."""
     for path in list(_staged):
@@ -87,24 +115,42 @@ def arrays_of(column) -> list[np.ndarray]:
     return out
 
 
-def batch_rows(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows that Spark hands to Python at a time from now on in this session. Texts may be long, and both sides hold a whole batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def batch_rows(spark: SparkSession) -> None:
+    """Spark hands 1000 rows to Python at a time. Texts may be long, and both sides hold a whole batch. All operators here that use
+    Python set the same number, so it doesn't matter which of them is built first."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
 
+def bitmap_of(keys: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A set of hashes as a bitmap of 2 ** bits bits, which is of one size whatever the input; 64 bits come to the driver in a row."""
+    at = F.pmod(column, F.lit(1 << bits))
+    cells = keys.select((at / 64).cast("int").alias("i"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int")).alias("b"))
+    got = cells.groupBy("i").agg(F.bit_or("b").alias("b")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[got.column("i").to_numpy()] = got.column("b").to_numpy()
+    return table
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of plans that nothing refers to any more, as after a table was staged. What the first
-    collection lets go of holds more that the second one finds."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
 
+def gathered(batches, rows: int = 4000, most: int = 1 << 24):
+    """Batches put together to so many rows or bytes, for work that pays on larger ones."""
+    held, n, size = [], 0, 0
+    for b in batches:
+        held.append(b)
+        n, size = n + b.num_rows, size + b.nbytes
+        if n >= rows or size >= most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n, size = [], 0, 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-def kept(key, make):
-    """make()'s value, made once in a process. Functions travel by value, so their own globals don't outlive a task."""
+
+def kept(key, make, most: int = 8):
+    """make()'s value, made once in a process, where the last few stay. Functions travel by value, so their own globals don't outlive a
+    task."""
     cache = sys.__dict__.setdefault("_meterloom_kept", {})
     if key not in cache:
+        while len(cache) >= most:
+            del cache[next(iter(cache))]
         cache[key] = make()
     return cache[key]
 
@@ -257,37 +303,55 @@ def repeats(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
 # -- connected components ----------------------------------------------------------------------------------------------
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 60, finish: int = FINISH) -> DataFrame:
     """(node, root): root is the smallest node that edges (a, b) reach. Nodes are longs; nodes without an edge don't appear.
 
-    Alternates two star operations (each node hands its neighbours the smallest neighbour) until nothing changes; each round is a
-    grouped minimum and a join, so no group is ever collected, and each is staged. Every map task first contracts its own edges.
+    Every map task first contracts its own edges to stars, of which `finish` or fewer are contracted by one task at last. While there
+    are more, two star operations alternate (each node hands its neighbours the smallest neighbour): grouped minima and joins, so no
+    group is ever collected, and none is hot (see met). Each round is
+    staged. It takes a logarithmic number of rounds; most_rounds is far above that, and to exceed it is an error.
     """
-    edges = staged(_contracted(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")), "cc")
+    sums = {"n": F.count(F.lit(1)), "x": F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))}
+    edges = staged(_contracted(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")), "cc", **sums)
     before = None
     for _ in range(most_rounds):
+        now = edges.observed
+        if now == before or not now["n"]:
+            break
+        last, before = edges, now
+        if now["n"] <= finish:
+            edges = staged(_contracted(edges.coalesce(1), finish), "cc")
+            discard(last)
+            break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = both.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("m"), F.count("*").alias("c")).withColumn("m", F.least("k", "m"))
         # large star: neighbours above a node point to its least one
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = met(both.filter("b > a"), "a", least, "k", "c", 2 * now["n"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = staged(large.distinct(), "cc")
         # small star: neighbours below a node, and itself, point to the least of them
-        last, small = edges, large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(small, "a")
-        edges = staged(
-            joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "cc"
-        )
+        small = large.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("m"), F.count("*").alias("c"))
+        stars = met(large, "a", small, "k", "c", 2 * now["n"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        stars = stars.unionByName(small.select(F.col("k").alias("a"), F.col("m").alias("b")))
+        edges = staged(stars.filter("a <> b").distinct(), "cc", **sums)
         discard(last)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
+        discard(large)
     else:
         raise RuntimeError("components: too many rounds")
     out = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return out.unionByName(out.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _contracted(edges: DataFrame) -> DataFrame:
+def met(rows: DataFrame, on: str, table: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """rows with the columns of table (one row for each key) where rows[on] = table[key]; rows without one go. `weight` says how many of
+    the `total` rows have a key: those of most rows (2 ** 15 at most) come by a broadcast, so none is hot in a shuffle."""
+    heavy = max(1000, total >> 15)
+    hot = table.filter(F.col(weight) > heavy).drop(weight)
+    few = table.filter(F.col(weight) <= heavy).drop(weight)
+    apart = rows.join(F.broadcast(hot.select(F.col(key).alias("_hot"))), F.col(on) == F.col("_hot"), "left_anti")
+    return rows.join(F.broadcast(hot), F.col(on) == F.col(key)).unionByName(apart.join(few, F.col(on) == F.col(key)))
+
+
+def _contracted(edges: DataFrame, most: int = 2_000_000) -> DataFrame:
     """Each task's edges as stars around the least node that they reach; blocks of edges bound the memory."""
 
     def run(batches):
@@ -296,7 +360,7 @@ def _contracted(edges: DataFrame) -> DataFrame:
             a, b = x.column(0).to_numpy(zero_copy_only=False), x.column(1).to_numpy(zero_copy_only=False)
             held.append((a, b))
             rows += len(a)
-            if rows >= 2_000_000:
+            if rows >= max(most, 1) + 1:
                 yield stars(held)
                 held, rows = [], 0
         if rows:

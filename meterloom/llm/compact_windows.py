@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_rows, in_pieces, mix, release, shielded, shingles_of, slices, staged, words_of
+from .common import batch_rows, in_pieces, mix, shielded, shingles_of, slices, staged, words_of
 
 K, MIN_WORDS, HASHES, ENOUGH = 5, 50, 1, 1
 #: Repeated shingles for each of the union that isn't: |A & B| / |A | B| >= 0.8.
@@ -277,7 +277,6 @@ def passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words
     width = min_words - K + 1
     regions = _regions(_signatures(rows, run_of(width), hashes), enough, width)
     regions = staged(regions, "regions")
-    release(rows.sparkSession)
     # what a task couldn't settle is looked up among all; it asks once for each shingle, so none is hot
     dealt = _in_regions(rows, regions).repartition("deal")
     asks = F.col("p").isNotNull()

@@ -29,12 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_rows, components, discard, mix, release, shielded, shingles_of, slices, staged, words_of
+from .common import batch_rows, bitmap_of, components, discard, met, mix, shielded, shingles_of, slices, staged, words_of
 
 #: Shingles in one block of a large cluster, about.
 BLOCK_SHINGLES = 400_000
 #: Shingles that are known as frequent at most; those that a task hands on, and from how many of its classes on.
 FREQUENT, FREQUENT_TASK, FREQUENT_FROM = 50_000, 2_000, 16
+#: Bands of large clusters up to which they are broadcast (some MB), and the salts by which rows meet them beyond it.
+MOST_BANDS, SALTS = 50_000, 64
 #: Bits of a set's size in a packed number.
 PACK = 30
 #: Bits of the filter that keeps the second reading of the texts to classes that matter; 2 MB at every size.
@@ -73,70 +75,74 @@ def _first_part(values: np.ndarray, one_in: int) -> np.ndarray:
     return mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(one_in) == 0
 
 
-def _members(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
-    """(id, d, n, class) of each document; d tells texts of one id apart."""
-    batch_rows(docs.sparkSession)
-
-    def run(batches):
-        for b in batches:
-            n, c = [], []
-            for _, _, data, offsets in slices(b.column(1)):
-                for v in sets_of(data, offsets, k):
-                    n.append(len(v))
-                    c.append(class_of(v))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(c, pa.int64())], names=["id", "d", "n", "class"])
-
-    return docs.select(F.col(key).cast("long").alias("id"), text, _row_key(key, text).alias("d")).mapInArrow(run, "id long, d long, n long, class long")
-
-
-def _row_key(key: str, text: str):
-    return F.xxhash64(F.col(key).cast("long"), F.col(text))
-
+def _read(docs: DataFrame, k: int, num: int, den: int, key: str, text: str) -> DataFrame:
+    """The first reading of the texts, staged. Rows with a class: (id, d, n, class) of each document, where d tells texts of one id apart.
+    Rows without: shingles (d) that many of a task's classes (n) have.
 
-def _frequent(docs: DataFrame, k: int, one_in: int, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles in order, classes that have each, as counted): those that many classes have, at most FREQUENT of them.
-
-    Each task counts its classes' shingles and hands on the most frequent; counts are summed. A count that misses some tasks is still
-    the same number for everyone, which is all that an order needs.
+    Each task counts its classes' shingles of the first part and hands on the most frequent.
     """
+    batch_rows(docs.sparkSession)
+    one_in = first_part_of(num, den)
 
     def run(batches):
         seen: set[int] = set()
         total_s, total_n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for b in batches:
-            for _, _, data, offsets in slices(b.column(0)):
-                held = []
+            sizes, classes, held = [], [], []
+            for _, _, data, offsets in slices(b.column(1)):
                 for v in sets_of(data, offsets, k):
                     c = class_of(v)
+                    sizes.append(len(v))
+                    classes.append(c)
                     if len(v) and c not in seen:
                         seen.add(c)
                         held.append(v[_first_part(v, one_in)])
-                if held:
-                    s, n = np.unique(np.concatenate(held), return_counts=True)
-                    s, at = np.unique(np.concatenate([total_s, s[n > 1]]), return_inverse=True)
-                    total_n = np.bincount(at, weights=np.concatenate([total_n, n[n > 1]]), minlength=len(s)).astype(np.int64)
-                    total_s = s
-                    if len(s) > 20 * FREQUENT_TASK:
-                        best = np.argpartition(-total_n, FREQUENT_TASK)[:FREQUENT_TASK]
-                        best.sort()
-                        total_s, total_n = total_s[best], total_n[best]
+            if held:
+                s, n = np.unique(np.concatenate(held), return_counts=True)
+                s, at = np.unique(np.concatenate([total_s, s[n > 1]]), return_inverse=True)
+                total_n = np.bincount(at, weights=np.concatenate([total_n, n[n > 1]]), minlength=len(s)).astype(np.int64)
+                total_s = s
+                if len(s) > 20 * FREQUENT_TASK:
+                    best = np.argpartition(-total_n, FREQUENT_TASK)[:FREQUENT_TASK]
+                    best.sort()
+                    total_s, total_n = total_s[best], total_n[best]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())], names=["id", "d", "n", "class"])
         keep = np.flatnonzero(total_n >= FREQUENT_FROM)
         keep = keep[np.argsort(-total_n[keep], kind="stable")[:FREQUENT_TASK]]
-        yield pa.RecordBatch.from_arrays([pa.array(total_s[keep].view(np.int64)), pa.array(total_n[keep])], names=["s", "n"])
+        none = pa.nulls(len(keep), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.array(total_s[keep].view(np.int64)), pa.array(total_n[keep]), none], names=["id", "d", "n", "class"])
+
+    rows = docs.select(F.col(key).cast("long").alias("id"), text, _row_key(key, text).alias("d"))
+    return staged(rows.mapInArrow(run, "id long, d long, n long, class long"), "members", members=F.count("class"))
+
+
+def first_part_of(num: int, den: int) -> int:
+    """One shingle in so many is of the first part, which is some more than the longest prefix."""
+    return max(1, math.floor(den / (1.6 * (den - num)))) if num < den else 8
+
+
+def _row_key(key: str, text: str):
+    return F.xxhash64(F.col(key).cast("long"), F.col(text))
+
 
-    got = docs.select(text).mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s").limit(FREQUENT).toArrow()
+def _frequent(read: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles in order, classes that have each, as counted): those that many classes have, at most FREQUENT of them. A count that misses
+    some tasks is still the same number for everyone, which is all that an order needs."""
+    counts = read.filter("class is null").groupBy(F.col("d").alias("s")).agg(F.sum("n").alias("n"))
+    got = counts.orderBy(F.desc("n"), "s").limit(FREQUENT).toArrow()
     s, n = got.column("s").to_numpy(), got.column("n").to_numpy()
     order = np.argsort(s, kind="stable")
     return s[order], n[order]
 
 
-def _candidates(docs: DataFrame, k: int, num: int, den: int, one_in: int, text: str) -> DataFrame:
+def _candidates(docs: DataFrame, read: DataFrame, k: int, num: int, den: int, text: str) -> DataFrame:
     """(s, class, meta, df): each class's shingles of the first part, and as many of the others as its prefix needs.
 
     meta: the set's size, how many of it are of the first part (PACK bits each), and 1 for a shingle of the others; df: classes that
     have the shingle, for frequent ones, else null. A task hands on a class once.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, k, one_in, text))  # at most FREQUENT pairs
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(read))  # at most FREQUENT pairs
+    one_in = first_part_of(num, den)
 
     def run(batches):
         known, counts = shared.value
@@ -185,52 +191,51 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: key, n_shingles, component_id (the smallest key that links reach), links threshold num / den."""
-    members = staged(_members(docs, k, key, text), "members")
-    links = class_links(docs, members, k, num, den, text)
-    found = components(links)
-    least = members.groupBy("class").agg(F.min("id").alias("least"))
-    grouped = least.join(found, F.col("class") == F.col("node"), "left").withColumn("group", F.coalesce("root", "class"))
-    least_of = grouped.filter("root is not null").groupBy(F.col("group").alias("g")).agg(F.min("least").alias("group_least"))
-    classes = grouped.join(least_of, F.col("group") == F.col("g"), "left").select(F.col("class").alias("c"), F.coalesce("group_least", "least").alias("component"))
-    joined = members.join(classes, F.col("class") == F.col("c"), "left")
+    read = _read(docs, k, num, den, key, text)
+    members = read.filter("class is not null")
+    groups = components(class_links(docs, read, k, num, den, text)).select(F.col("node").alias("g"), "root")
+    classes = members.groupBy("class").agg(F.min("id").alias("least"), F.count("*").alias("rows")).join(groups, F.col("class") == F.col("g"), "left")
+    classes = staged(classes.select("class", "least", "rows", "root"), "classes", linked=F.count("root"))
+    some = classes.filter("root is not null")
+    least = some.groupBy(F.col("root").alias("g")).agg(F.min("least").alias("component"), F.count("*").alias("classes"))
+    found = met(some, "root", least, "g", "classes", classes.observed["linked"]).select(F.col("class").alias("c"), "component", "rows")
+    found = found.unionByName(classes.filter("root is null").select(F.col("class").alias("c"), F.col("least").alias("component"), "rows"))
+    got = met(members, "class", found, "c", "rows", read.observed["members"])
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
-    return joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return got.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 @shielded()
 def deduplicated(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one document of each group that links connect: the one of the smallest key. Rows that repeat count as one document;
     documents without words are in no group and stay."""
-    members = staged(_members(docs, k, key, text), "members")
-    found = components(class_links(docs, members, k, num, den, text))
+    read = _read(docs, k, num, den, key, text)
+    members = read.filter("class is not null")
+    found = components(class_links(docs, read, k, num, den, text))
     first = lambda: F.min(F.struct(F.col("id").isNull().alias("none"), "id", "d"))
     least = members.filter("n > 0").groupBy("class").agg(first().alias("x"))
     least = least.join(found, F.col("class") == F.col("node"), "left").groupBy(F.coalesce("root", "class").alias("g")).agg(F.min("x").alias("x"))
     kept = least.select(F.col("x.d").alias("_d")).unionByName(members.filter("n = 0").select(F.col("d").alias("_d")).distinct())
     copies = members.groupBy(F.col("d").alias("_e")).agg(F.count("*").alias("c")).filter("c > 1")
-    kept = kept.join(copies, F.col("_d") == F.col("_e"), "left").select("_d", F.coalesce("c", F.lit(1)).alias("_c"))
+    kept = staged(kept.join(copies, F.col("_d") == F.col("_e"), "left").select("_d", F.coalesce("c", F.lit(1)).alias("_c")), "kept", most=F.max("_c"))
     rows = docs.withColumn("_k", _row_key(key, text)).join(kept, F.col("_k") == F.col("_d"))
-    if kept.filter("_c > 1").head(1):
+    if (kept.observed["most"] or 0) > 1:
         # the rows that repeat, of which one is taken, are few beside the others, or the table is mostly copies
         once = rows.filter("_c > 1").dropDuplicates(["_k"])
         rows = rows.filter("_c = 1").unionByName(once)
     return rows.select(*docs.columns)
 
 
-def class_links(docs: DataFrame, members: DataFrame, k: int, num: int, den: int, text: str = "text") -> DataFrame:
-    """(a, b): links between classes, enough of them to connect all that link."""
-    spark = docs.sparkSession
-    edges = _prefixes(docs, k, num, den, text)
-    release(spark)
+def class_links(docs: DataFrame, read: DataFrame, k: int, num: int, den: int, text: str = "text") -> DataFrame:
+    """(a, b): links between classes, staged, enough of them to connect all that link."""
+    edges = _prefixes(docs, read, k, num, den, text)
     found = components(_hung(edges, num, den))
     sizes = edges.select(F.col("class").alias("c"), "n").distinct()
-    clusters = staged(found.join(sizes, F.col("node") == F.col("c")).select(F.col("c").alias("class"), "n", F.col("root").alias("cluster")), "clusters")
+    clusters = found.join(sizes, F.col("node") == F.col("c")).select(F.col("c").alias("class"), "n", F.col("root").alias("cluster"))
+    clusters = staged(clusters, "clusters")
     discard(edges)
-    del edges, found, sizes
-    release(spark)
     links = staged(_matched(_sets_in(docs, clusters, k, text), _meetings(clusters, num, den), num, den), "links")
     discard(clusters)
-    release(spark)
     return links
 
 
@@ -241,11 +246,9 @@ def _band(num: int, den: int):
     return F.floor(F.log(F.col("n").cast("double")) / wide).cast("long")
 
 
-def _prefixes(docs: DataFrame, k: int, num: int, den: int, text: str) -> DataFrame:
+def _prefixes(docs: DataFrame, read: DataFrame, k: int, num: int, den: int, text: str) -> DataFrame:
     """(class, n, s): the shingles of each class's prefix that another class has too, for classes that may have a partner."""
-    # the first part is some more than the longest prefix
-    one_in = max(1, math.floor(den / (1.6 * (den - num)))) if num < den else 8
-    df = _shared(_candidates(docs, k, num, den, one_in, text))
+    df = _shared(_candidates(docs, read, k, num, den, text))
     part, n, first = F.col("meta") % 2, F.shiftright("meta", PACK + 1), F.shiftright("meta", 1) % (1 << PACK)
     shared = F.array_sort(F.collect_list(F.struct(part.alias("part"), "df", "s")))
     per_class = df.groupBy("class").agg(F.first(n).alias("n"), F.first(first).alias("first"), shared.alias("x"))
@@ -295,12 +298,7 @@ def _hung(edges: DataFrame, num: int, den: int) -> DataFrame:
 
 def _sets_in(docs: DataFrame, cluster: DataFrame, k: int, text: str) -> DataFrame:
     """(class, v): sets of the classes in clusters, and of a few others that their filter lets through; of each task once."""
-    bits = F.pmod("class", F.lit(1 << FILTER_BITS))
-    cells = cluster.select((bits / 64).cast("int").alias("i"), F.call_function("shiftleft", F.lit(1).cast("long"), (bits % 64).cast("int")).alias("b")).groupBy("i").agg(F.bit_or("b").alias("b")).collect()
-    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)  # a fixed size, whatever the input
-    if cells:
-        table[[r[0] for r in cells]] = [r[1] for r in cells]
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(cluster, "class", FILTER_BITS))
 
     def run(batches):
         bitmap = shared.value.view(np.uint64)
@@ -324,17 +322,23 @@ def _sets_in(docs: DataFrame, cluster: DataFrame, k: int, text: str) -> DataFram
 def _meetings(clusters: DataFrame, num: int, den: int) -> DataFrame:
     """(class, m): the tasks that see a class. Small clusters go to tasks several at a time; large ones are cut into bands of sizes and
     blocks, and a task sees two blocks that can link."""
+    spark = clusters.sparkSession
     rows = clusters.withColumn("band", _band(num, den))
-    bands = rows.groupBy("cluster", "band").agg(F.sum("n").alias("mass"))
-    total = bands.groupBy(F.col("cluster").alias("c2")).agg(F.sum("mass").alias("all"))
-    groups = int((total.filter(F.col("all") <= BLOCK_SHINGLES).agg(F.sum("all")).first()[0] or 0) // BLOCK_SHINGLES) + 1
-    groups = max(groups, int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    big = bands.join(total.filter(F.col("all") > BLOCK_SHINGLES), F.col("cluster") == F.col("c2"))
-    big = big.select(F.col("cluster").alias("c3"), F.col("band").alias("b3"), F.ceil(F.col("mass") / BLOCK_SHINGLES).cast("long").alias("parts"))
-    for name, step in (("above", -1), ("below", 1)):
-        near = big.select(F.col("c3").alias("c4"), (F.col("b3") + step).alias("b4"), F.col("parts").alias(name))
-        big = big.join(near, (F.col("c3") == F.col("c4")) & (F.col("b3") == F.col("b4")), "left").drop("c4", "b4")
-    rows = rows.join(big, (F.col("cluster") == F.col("c3")) & (F.col("band") == F.col("b3")), "left")
+    w = Window.partitionBy("cluster")  # a cluster has some hundred bands at most
+    bands = rows.groupBy("cluster", "band").agg(F.sum("n").alias("mass")).withColumn("all", F.sum("mass").over(w))
+    parts = F.ceil(F.col("mass") / BLOCK_SHINGLES).cast("long")
+    near = lambda step: F.when(F.lag("band", step).over(w.orderBy("band")) == F.col("band") - step, F.lag(parts, step).over(w.orderBy("band")))
+    bands = bands.select(F.col("cluster").alias("c3"), F.col("band").alias("b3"), "mass", "all", parts.alias("parts"), near(-1).alias("above"), near(1).alias("below"))
+    is_big = F.col("all") > BLOCK_SHINGLES
+    bands = staged(bands, "bands", big=F.count_if(is_big), small=F.sum(F.when(~is_big, F.col("mass"))))
+    groups = max((bands.observed["small"] or 0) // BLOCK_SHINGLES + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    big = bands.filter(is_big).drop("mass", "all")
+    on = (F.col("cluster") == F.col("c3")) & (F.col("band") == F.col("b3"))
+    if bands.observed["big"] <= MOST_BANDS:
+        rows = rows.join(F.broadcast(big), on, "left")
+    else:  # a large cluster's rows are dealt by salt
+        big = big.withColumn("salt2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("class", F.lit(7)), F.lit(SALTS)).cast("int")).join(big, on & (F.col("salt") == F.col("salt2")), "left")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")))
 
     def meeting(lo, i, hi, j):
