@@ -1,16 +1,15 @@
 """Passages that repeat across documents, by compact windows.
 
 A document is the sequence of its 5-word shingles (A-Z lower-cased). For each of HASHES hash functions a Cartesian tree stands over
-the shingles' hash values: its node (l, c, r) stands for all subsequences within l..r that hold c, whose least value is that of c.
-However a passage of 46 shingles and more is edited, at a Jaccard similarity of 0.8 it keeps a run of 21 in a row (see run_of), so
-only nodes of at least that width are made, about 2 n / 21 of them. A run that two documents share lies, under any function, in a node
-of either with the same shingle at c, so one function is enough; and as it is as wide as two half widths, it holds the shingle half a
-width to the left of c or the one half a width to the right. A node's signatures are c's shingle together with either of these,
-which keeps short common phrases from making candidates of all documents that have them.
-
-Signatures that several documents have are kept; the intervals of their nodes, no further from c than a run's width, hold all shared
-runs of that width. They and what lies about them, as far as a passage can reach that holds them (see reached), are a text's candidate
-regions. There the passages are verified exactly: a shingle counts as repeated if an earlier document (by id) has it in a
+the shingles' hash values: its node (l, c, r) stands for all subsequences within l..r that hold c, whose least value is that of c, and
+c's shingle is their signature. However a passage of 46 shingles and more is edited, at a Jaccard similarity of 0.8 it keeps a run of
+21 in a row (see run_of), so only nodes of at least that width are made, about 2 n / 21 of them for each function.
+
+Signatures that several documents have are kept. A run that two documents share has the same least shingle in both, under any function,
+so it lies in a node with a kept signature in every tree: an interval join of a text's kept nodes across the functions leaves the
+places where ENOUGH of them agree, and loses no shared run even if that is all of them. Common phrases seldom pass it, as they would
+have to hold the least value of every function. What is left, and what lies about it as far as a passage can reach that holds it (see
+reached), are a text's candidate regions. There the passages are verified exactly: a shingle counts as repeated if an earlier document (by id) has it in a
 region too, and a passage is a span of at least MIN_WORDS words of whose shingles so many are repeated that the Jaccard similarity
 is 0.8 or more (edits leave gaps, of any length that the similarity allows). Its source is the earlier document that most of its shingles come from. The earliest copy itself
 is no repeat. Exact repeats are all found, and edited ones wherever the edits are.
@@ -29,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_rows, in_pieces, mix, shielded, shingles_of, slices, staged, words_of
+from .common import batch_rows, bitmap_of, in_pieces, mix, shielded, shingles_of, slices, staged, words_of
 
-K, MIN_WORDS, HASHES, ENOUGH = 5, 50, 1, 1
+K, MIN_WORDS = 5, 50
+#: Hash functions, and how many must agree that a run of shingles is shared. One that is gives all of them a signature that two texts have.
+HASHES, ENOUGH = 4, 4
 #: Repeated shingles for each of the union that isn't: |A & B| / |A | B| >= 0.8.
 EACH = 4
 #: Shingles up to which a gap is an edit whatever stands in the source; across more, both sides must come from one document, in order.
@@ -39,6 +40,8 @@ GAP = 2 * K
 _NEVER = 1 << 40
 #: Size of the regions up to which they are broadcast.
 BROADCAST_BYTES = 16 << 20
+#: Keys that the passages of one source are dealt over.
+SALTS = 16
 #: Rows that a task settles among themselves.
 BLOCK_ROWS = 2_000_000
 #: Bits of the filter that keeps the second reading of the texts to documents that matter; 2 MB at every size.
@@ -54,21 +57,34 @@ def run_of(width: int) -> int:
     return max(2, min(-(-max(8 * lost * e, width - lost * e) // (e + 1)) for e in range(width)))
 
 
-def windows(values: np.ndarray, width: int) -> tuple[list[int], list[int], list[int]]:
-    """(l, c, r) of the Cartesian tree's nodes over l..r - 1 with r - l >= width; c holds the least value, the leftmost of equal ones."""
-    left, least, right = [], [], []
-    stack = [(0, len(values))] if len(values) >= width else []
-    while stack:
-        l, r = stack.pop()  # noqa: E741
-        c = l + int(values[l:r].argmin())
-        left.append(l)
-        least.append(c)
-        right.append(r)
-        if c - l >= width:
-            stack.append((l, c))
-        if r - c - 1 >= width:
-            stack.append((c + 1, r))
-    return left, least, right
+def least_of(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each `width` values in a row, by the rows of a sparse table: ranges of 2, 4, 8 ..., and two of them at last."""
+    out, have = values, 1
+    while 2 * have <= width:
+        out, have = np.minimum(out[:-have], out[have:]), 2 * have
+    return np.minimum(out[: len(out) - (width - have)], out[width - have :]) if have < width else out
+
+
+def windows(values: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, least): compact windows of all texts of a slice, of which row tells the text of each value.
+
+    A node of a text's Cartesian tree at c holds the subsequences whose least value is that of c. Those of `width` values in a row
+    follow each other, as their starts do, from first to last: runs of equal minima. So the tree's nodes of at least that width come
+    from the minima in linear time, whatever its depth; a node's reach is clipped to `width` around c. Equal values in reach of each
+    other are one node, so a text of one word has one.
+    """
+    if len(values) < width:
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, np.uint64)
+    least = least_of(values, width)
+    at = np.flatnonzero(row[: len(least)] == row[width - 1 :])
+    if not len(at):
+        return at, at, np.zeros(0, np.uint64)
+    least = least[at]
+    new = np.concatenate([[True], (least[1:] != least[:-1]) | (row[at[1:]] != row[at[:-1]])])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at)) - 1
+    return at[first], at[last], least[first]
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -89,40 +105,39 @@ def _shingles(column: pa.Array):
 
 
 def _signatures(rows: DataFrame, width: int, hashes: int) -> DataFrame:
-    """(deal, sig, d, node): signatures of nodes; node: l, r, function and whether two texts of one task have the signature, packed.
-    deal: the signature, but for rows whose signature is known to be shared: these are dealt by text, all but one that tells the
-    other tasks."""
+    """(deal, sig, d, node): signatures of compact windows; node: first and last start, function and whether two texts of one task have
+    the signature, packed. deal: the signature, but for rows whose signature is known to be shared: these are dealt by text, all but
+    one that tells the other tasks."""
     a = mix(np.arange(1, hashes + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    half = width // 2
 
     def run(batches):
         held: list[tuple] = []
         size = 0
         for b in batches:
             ds = b.column(1).to_numpy()
-            for i, s in _shingles(b.column(2)):
-                if len(s) < width:
-                    continue
+            for at, n, data, offsets in slices(b.column(2)):
+                h, _, _, begins = words_of(data, offsets)
+                s = shingles_of(h, K)
+                row = np.repeat(np.arange(n), np.diff(begins))
+                inside = row[: len(s)] == row[K - 1 :] if len(s) else np.zeros(0, bool)
+                s, row = s[inside], row[: len(inside)][inside]
+                begin = np.searchsorted(row, np.arange(n))
                 for f in range(hashes):
                     x = s * a[f]
                     x ^= x >> np.uint64(32)
-                    left, c, right = (np.array(y, np.int64) for y in windows(x, width))
-                    centre = mix(s[c] + a[f])
-                    node = np.maximum(left, c - width + 1) << 34 | np.minimum(right, c + width) << 4 | f << 1
-                    for side, at, inside in ((1, c - half, c - half >= left), (2, c + half, c + half < right)):
-                        sig = mix(centre[inside] * np.uint64(2 * side + 1) + s[at[inside]])
-                        held.append((sig, ds[i], node[inside]))
-                        size += len(sig)
+                    first, last, least = windows(x, row, width)
+                    own = row[first]
+                    held.append((mix(least + a[f]), ds[at + own], (first - begin[own]) << 34 | (last - begin[own]) << 4 | f << 1))
+                    size += len(first)
                 if size >= BLOCK_ROWS:
                     yield from in_pieces(settled(held))
                     held, size = [], 0
-        if held:
+        if size:
             yield from in_pieces(settled(held))
 
     def settled(held):
         sig = np.concatenate([x[0] for x in held]).view(np.int64)
-        d = np.repeat(np.array([x[1] for x in held], np.int64), [len(x[0]) for x in held])
-        node = np.concatenate([x[2] for x in held])
+        d, node = (np.concatenate([x[i] for x in held]) for i in (1, 2))
         order = np.lexsort((d, sig))
         sig, d, node = sig[order], d[order], node[order]
         starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
@@ -136,48 +151,44 @@ def _signatures(rows: DataFrame, width: int, hashes: int) -> DataFrame:
     return rows.mapInArrow(run, "deal long, sig long, d long, node long")
 
 
-def _regions(signatures: DataFrame, enough: int, margin: int) -> DataFrame:
+def _regions(signatures: DataFrame, enough: int, margin: int, run_: int) -> DataFrame:
     """(d, regions): shingle ranges of each text that passages can lie in; the last may end beyond the text."""
     w = Window.partitionBy("deal", "sig")
     shared = signatures.repartition("deal").withColumns({"a": F.min("d").over(w), "z": F.max("d").over(w)}).filter("node % 2 = 1 or a <> z")
-    nodes = shared.groupBy("d").agg(F.collect_set("node").alias("x"))
+    nodes = shared.groupBy("d").agg(F.collect_set(F.shiftright("node", 1)).alias("x"))  # no more than a text has
 
     def run(batches):
         for b in batches:
-            d, regions = [], []
             x = b.column(1)
-            offsets = x.offsets.to_numpy()
-            node = x.values.to_numpy()
-            left, right, f = node >> 34, node >> 4 & ((1 << 30) - 1), node >> 1 & 7
-            for i, key in enumerate(b.column(0).to_pylist()):
-                a, z = offsets[i], offsets[i + 1]
-                got = reached(covered(f[a:z], left[a:z], right[a:z], enough), margin)
-                if got:
-                    d.append(key)
-                    regions.append(got)
-            yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(regions, pa.list_(pa.int32()))], names=["d", "regions"])
+            offsets, node = x.offsets.to_numpy(), x.values.to_numpy()
+            found = covered(np.repeat(np.arange(b.num_rows), np.diff(offsets)), node >> 33, (node >> 3 & ((1 << 30) - 1)) + 1, enough)
+            d, regions = [], []
+            for i, ranges in found:
+                d.append(i)
+                regions.append(reached([y + (run_ - 1) * (j % 2) for j, y in enumerate(ranges)], margin))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(d, pa.int64())), pa.array(regions, pa.list_(pa.int32()))], names=["d", "regions"])
 
     return nodes.mapInArrow(run, "d long, regions array<int>")
 
 
-def covered(f: np.ndarray, left: np.ndarray, right: np.ndarray, enough: int) -> list[int]:
-    """Ends of the ranges (l, r, l, r, ...) that intervals of at least `enough` different functions cover."""
-    points = np.unique(np.concatenate([left, right]))
-    depth = np.zeros(len(points), np.int64)
-    for g in np.unique(f):
-        on = f == g
-        change = np.zeros(len(points) + 1, np.int64)
-        np.add.at(change, np.searchsorted(points, left[on]), 1)
-        np.add.at(change, np.searchsorted(points, right[on]), -1)
-        depth += np.cumsum(change)[:-1] > 0
-    out: list[int] = []
-    for i in np.flatnonzero(depth[:-1] >= enough) if len(points) > 1 else []:
-        l, r = int(points[i]), int(points[i + 1])  # noqa: E741
-        if out and out[-1] == l:
-            out[-1] = r
-        else:
-            out += [l, r]
-    return out
+def covered(text: np.ndarray, left: np.ndarray, right: np.ndarray, enough: int):
+    """The interval join across functions, as (text, ends of ranges l, r, l, r, ...): where intervals l..r - 1 of `enough` functions meet.
+    Intervals of one function and text don't overlap, so so many of any kind are of so many functions."""
+    if not len(text):
+        return
+    points = np.concatenate([text << 32 | left, text << 32 | right])
+    change = np.repeat(np.array([1, -1]), len(left))
+    order = np.argsort(points, kind="stable")
+    points, depth = points[order], np.cumsum(change[order])
+    settled = np.append(points[1:] != points[:-1], True)  # the depth behind all changes at a place
+    points, on = points[settled], depth[settled] >= enough
+    before = np.concatenate([[False], on[:-1]])
+    starts, ends = points[on & ~before], points[~on & before]
+    owners, first = np.unique(starts >> 32, return_index=True)
+    if not len(owners):
+        return
+    for i, a, z in zip(owners.tolist(), first.tolist(), np.append(first[1:], len(starts)).tolist(), strict=True):
+        yield i, np.column_stack([starts[a:z], ends[a:z]]).ravel().__and__((1 << 32) - 1).tolist()
 
 
 def reached(ranges: list[int], margin: int) -> list[int]:
@@ -198,12 +209,7 @@ def _in_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
     """Of shingles in regions. (deal, id, d, p): place p of a text; deal: the shingle, for which other tasks must be asked. (deal, id, d,
     places, sources, lengths): places whose shingle an earlier document of the same task has, packed with where it has it, and that
     document; one entry for each run in which both places go up by one."""
-    bits = F.pmod("d", F.lit(1 << FILTER_BITS))
-    cells = regions.select((bits / 64).cast("int").alias("i"), F.call_function("shiftleft", F.lit(1).cast("long"), (bits % 64).cast("int")).alias("b")).groupBy("i").agg(F.bit_or("b").alias("b")).collect()
-    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)  # a fixed size, whatever the input
-    if cells:
-        table[[r[0] for r in cells]] = [r[1] for r in cells]
-    shared = rows.sparkSession.sparkContext.broadcast(table)
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap_of(regions, "d", FILTER_BITS))
 
     def some(batches):
         bitmap = shared.value.view(np.uint64)
@@ -212,8 +218,8 @@ def _in_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
             yield b.filter(pa.array(bitmap[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) == 1))
 
     # up to a checked size the regions go to the texts; beyond it, texts (smaller than their hashes) are shuffled to meet them
-    n, ends = regions.agg(F.count("*"), F.sum(F.size("regions"))).first()
-    near = F.broadcast(regions) if 32 * n + 4 * (ends or 0) <= BROADCAST_BYTES else regions
+    size = 32 * regions.observed["texts"] + 4 * (regions.observed["ends"] or 0)
+    near = F.broadcast(regions) if size <= BROADCAST_BYTES else regions
     wanted = rows.mapInArrow(some, "id long, d long, t string").join(near, "d").select("id", "d", "t", "regions")
 
     def spread(batches):
@@ -275,8 +281,9 @@ def passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words
     batch_rows(docs.sparkSession)
     rows = _keyed(docs, key, text)
     width = min_words - K + 1
-    regions = _regions(_signatures(rows, run_of(width), hashes), enough, width)
-    regions = staged(regions, "regions")
+    run_ = run_of(width)
+    regions = _regions(_signatures(rows, run_, hashes), enough, width, run_)
+    regions = staged(regions, "regions", texts=F.count("*"), ends=F.sum(F.size("regions")))
     # what a task couldn't settle is looked up among all; it asks once for each shingle, so none is hot
     dealt = _in_regions(rows, regions).repartition("deal")
     asks = F.col("p").isNotNull()
@@ -373,8 +380,11 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     comes from an earlier one still, that is the source.
     """
     found = staged(passages(docs, key, text, min_words).select("id", "d", F.explode("spans").alias("s")).select("id", "d", "s.*"), "passages")
-    other = found.select(F.col("id").alias("i2"), F.col("start").alias("a2"), F.col("end").alias("z2"), F.col("source").alias("earlier")).distinct()
-    hop = found.join(other, (F.col("source") == F.col("i2")) & (F.col("at") >= F.col("a2")) & (F.col("at") < F.col("z2")), "left")
+    # a source may be that of most passages: its rows are dealt by salt
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt2")
+    other = found.select(F.col("id").alias("i2"), F.col("start").alias("a2"), F.col("end").alias("z2"), F.col("source").alias("earlier")).distinct().select("*", salts)
+    salted = found.withColumn("salt", F.pmod(F.xxhash64("id", "d"), F.lit(SALTS)).cast("int"))
+    hop = salted.join(other, (F.col("source") == F.col("i2")) & (F.col("salt") == F.col("salt2")) & (F.col("at") >= F.col("a2")) & (F.col("at") < F.col("z2")), "left")
     got = hop.groupBy("id", "d", "start", "end", "repeated", "union").agg(F.min(F.coalesce("earlier", "source")).alias("source"))
     back = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
     return got.select(back("id").alias(key), F.col("start").alias("start_word"), F.col("end").alias("end_word"), (F.col("end") - F.col("start")).alias("n_words"), back("source").alias("source_id"), F.round(F.col("repeated") / F.col("union"), 6).alias("similarity"))

@@ -133,10 +133,12 @@ def test_join_edges(spark):
     assert prefix_tree_join.deduplicated(empty(spark)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("finish", [common.FINISH, 0])
+def test_components(spark, finish):
+    """By one task at the end, and by rounds of stars alone."""
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1100)] + [(5, 5)] + [(2000, x) for x in range(2001, 2050)]
-    got = {r.node: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
+    got = {r.node: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long").repartition(5), finish=finish).collect()}
     u = Union(2100)
     for a, b in edges:
         u.join(a, b)
@@ -149,33 +151,49 @@ def test_components(spark):
 
 
 def brute_windows(x, width):
-    """All (l, c, r) such that c is the leftmost least of l..r - 1 and the interval can't grow."""
-    out = set()
-    for c in range(len(x)):
-        left = c
-        while left > 0 and x[left - 1] > x[c]:
-            left -= 1
-        right = c + 1
-        while right < len(x) and x[right] >= x[c]:
-            right += 1
-        if right - left >= width:
-            out.add((left, c, right))
+    """(first, last, least) by the Cartesian tree, node by node: the windows of `width` that each node is the lowest one of, equal
+    neighbours together."""
+    of_window, stack = {}, [(0, len(x))]
+    while stack:
+        left, right = stack.pop()
+        if right - left < width:
+            continue
+        c = min(range(left, right), key=lambda i: x[i])
+        for w in range(max(left, c - width + 1), min(c, right - width) + 1):
+            of_window[w] = x[c]
+        stack += [(left, c), (c + 1, right)]
+    out = []
+    for w in sorted(of_window):
+        if out and out[-1][1] == w - 1 and out[-1][2] == of_window[w]:
+            out[-1][1] = w
+        else:
+            out.append([w, w, of_window[w]])
     return out
 
 
 @pytest.mark.parametrize("seed", range(20))
 def test_windows_by_brute_force(seed):
+    """Several texts in a slice, with many equal values."""
     rng = np.random.default_rng(seed)
-    x = rng.integers(0, 30, rng.integers(0, 80)).astype(np.uint64)
+    texts_ = [rng.integers(0, 30, rng.integers(0, 80)).astype(np.uint64) for _ in range(5)]
     width = int(rng.integers(1, 9))
-    got = list(zip(*compact_windows.windows(x, width), strict=True))
-    assert len(got) == len(set(got)) and set(got) == brute_windows(x.tolist(), width)
+    values, row = np.concatenate(texts_), np.repeat(np.arange(5), [len(x) for x in texts_])
+    begin = np.cumsum([0] + [len(x) for x in texts_])
+    want = [[w + begin[i], z + begin[i], v] for i, x in enumerate(texts_) for w, z, v in brute_windows(x.tolist(), width)]
+    assert [list(x) for x in zip(*(y.tolist() for y in compact_windows.windows(values, row, width)), strict=True)] == want
+
+
+def test_one_word_a_million_times():
+    """One node for each function, and in linear time."""
+    first, last, _ = compact_windows.windows(np.zeros(1_000_000, np.uint64), np.zeros(1_000_000, np.int64), 21)
+    assert (first.tolist(), last.tolist()) == ([0], [999_979])
 
 
 def test_covered():
-    f, left, right = np.array([0, 0, 1, 1]), np.array([0, 30, 5, 20]), np.array([10, 40, 8, 35])
-    assert compact_windows.covered(f, left, right, 2) == [5, 8, 30, 35]
-    assert compact_windows.covered(f, left, right, 1) == [0, 10, 20, 40]
+    text, left, right = np.array([3, 3, 3, 3, 7]), np.array([0, 30, 5, 20, 6]), np.array([10, 40, 8, 35, 9])
+    assert list(compact_windows.covered(text, left, right, 2)) == [(3, [5, 8, 30, 35])]
+    assert list(compact_windows.covered(text, left, right, 1)) == [(3, [0, 10, 20, 40]), (7, [6, 9])]
+    assert list(compact_windows.covered(text[:0], left[:0], right[:0], 1)) == []
 
 
 def planted(seed, n=60):
