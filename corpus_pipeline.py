@@ -2,7 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns the documents that it keeps, with the columns of documents; the last returns the
 pieces of the packed documents. n_chars follows the text where a stage changes it. A stage's result is written and read again
-before the next one starts, so each works on all that its predecessor kept, and nothing is computed twice.
+before the next one starts, so each works on all that its predecessor kept, and nothing is computed twice. Then the tables of the stage
+before it are deleted, and those that it made on its way.
+
+Odd rows, of every stage: null and empty texts have nothing to judge, link, repeat, replace or pack, and pass to the end, where they are
+rows without a piece; only a text of which all words were cut as repeats goes. Rows that repeat are one document to the second stage,
+which keeps one of them, and so does it of documents that link, the one of the smallest doc_id (a null one comes last). A score equal to
+the classifier's threshold is accepted, a similarity equal to the join's is a link. Texts are taken whole, however long. Empty tables
+give empty tables. Columns beside those of documents go along, whatever their names; a column `text` or `doc_id` is needed.
 """
 
 from __future__ import annotations
@@ -56,8 +63,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
+    last = None
     for i, (name, stage) in enumerate(STAGES):
+        before = common.mark()
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = common.staged(docs, name.replace(" ", "-"))
+            common.discard_since(before, docs)
+            if last is not None:
+                common.discard(last)
+            last = docs
     return docs
