@@ -9,9 +9,17 @@ from ..functions import epoch_seconds, share
 from ..schema import READINGS, Series
 from .states import cascade
 
-#: Seconds between readings, and the bounds of the gap categories after it: fixed values.
+#: Seconds between readings, and the bounds and labels of the gap categories: fixed values.
 CADENCE = 180
-GAPS = [(CADENCE, "1_NOMINAL"), (900, "2_UP_TO_15_MIN"), (3600, "3_UP_TO_1_HOUR"), (86400, "4_UP_TO_1_DAY")]
+GAP_BOUNDS = (180, 900, 3600, 86400)
+GAP_LABELS = [
+    "0. Anomaly (< 3 min)",
+    "1. Exact 3-min (Nominal)",
+    "2. Short Gap (3m - 15m)",
+    "3. Medium Gap (15m - 1h)",
+    "4. Long Gap (1h - 24h)",
+    "5. Extended Dropout (> 24h)",
+]
 
 
 def time_bounds(df: DataFrame, cadence: int = CADENCE, time: str = "ts") -> DataFrame:
@@ -21,12 +29,14 @@ def time_bounds(df: DataFrame, cadence: int = CADENCE, time: str = "ts") -> Data
 
 
 def lifespans(df: DataFrame, series: Series = READINGS) -> DataFrame:
-    """One row per series: readings, first and last time, mean energy, readings in outage and standby."""
+    """One row per series: readings, first and last time and the days between, mean energy, readings in outage and standby."""
     v, i, f = F.col("voltage"), F.col("current"), F.col("freq")
-    return df.groupBy(*series.keys).agg(
+    days = F.round((epoch_seconds(F.col("last")) - epoch_seconds(F.col("first"))) / 86400, 1)
+    got = df.groupBy(*series.keys).agg(
         F.count("*").alias("readings"), F.min(series.time).alias("first"), F.max(series.time).alias("last"), F.avg(series.value).alias("mean_kwh"),
         F.count_if((v == 0) & (f == 0)).alias("outages"), F.count_if((F.col(series.value) == 0) & (v > 180) & (i == 0)).alias("standbys"),
     )
+    return got.withColumn("lifespan_days", days)
 
 
 def coverage(df: DataFrame, cadence: int = CADENCE, series: Series = READINGS) -> DataFrame:
@@ -49,8 +59,8 @@ def deltas(df: DataFrame, series: Series = READINGS) -> DataFrame:
 
 
 def gap_category(delta: Column) -> Column:
-    first, *more = GAPS
-    return cascade([(delta < first[0], "0_SHORTER"), (delta == first[0], first[1])] + [(delta <= most, name) for most, name in more], "5_OVER_1_DAY")
+    less, *upto = GAP_LABELS[:-1]
+    return cascade([(delta < GAP_BOUNDS[0], less), *((delta <= most, name) for most, name in zip(GAP_BOUNDS, upto, strict=True))], GAP_LABELS[-1])
 
 
 def gap_distribution(df: DataFrame, series: Series = READINGS) -> DataFrame:
@@ -87,15 +97,17 @@ def reconciled(found: DataFrame, reference: DataFrame, keys: list[str], value: s
     return a.join(b, keys).withColumns({"difference": gap, "within": gap <= tolerance * F.abs(F.col("reference"))})
 
 
-def customer_profile(hours: DataFrame, series: Series, brownout_share: str = "brownout_ratio") -> DataFrame:
-    """One row per series: daily load, median, variation, peak to average, day to night, weekend to weekday, outage hours, brownouts."""
+def customer_profile(hours: DataFrame, readings: DataFrame, series: Series, brownout_below: float = 200.0, accuracy: int = 10_000) -> DataFrame:
+    """One row per series: daily load, median (by a sketch), variation, peak to average, day to night, weekend to weekday, outage hours,
+    and the share of readings whose voltage is below a bound."""
     x, hour, dow = F.col(series.value), F.hour(series.time), F.dayofweek(series.time)
     day, weekend = (hour >= 6) & (hour < 18), dow.isin(1, 7)
     per_day = hours.groupBy(*series.keys, F.to_date(series.time).alias("_day")).agg(F.sum(x).alias("kwh")).groupBy(*series.keys).agg(F.avg("kwh").alias("mean_daily_kwh"))
     mean = F.avg(x)
     rest = hours.groupBy(*series.keys).agg(
-        F.percentile(x, F.lit(0.5)).alias("median_kwh"), F.try_divide(F.stddev(x), mean).alias("cv"), F.try_divide(F.max(x), mean).alias("peak_to_average"),
+        F.percentile_approx(x, 0.5, accuracy).alias("median_kwh"), F.try_divide(F.stddev(x), mean).alias("cv"), F.try_divide(F.max(x), mean).alias("peak_to_average"),
         F.try_divide(F.sum(F.when(day, x)), F.sum(F.when(~day, x))).alias("day_night"), F.try_divide(F.avg(F.when(weekend, x)), F.avg(F.when(~weekend, x))).alias("weekend_weekday"),
-        F.sum("is_outage_hour").alias("outage_hours"), F.avg(brownout_share).alias("brownout_share"),
+        F.sum("is_outage_hour").alias("outage_hours"),
     )
-    return rest.join(per_day, list(series.keys))
+    brown = readings.groupBy(*series.keys).agg(F.avg((F.col("voltage") < brownout_below).cast("int")).alias("brownout_share"))
+    return rest.join(per_day, list(series.keys)).join(brown, list(series.keys))

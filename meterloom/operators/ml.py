@@ -49,6 +49,14 @@ def errors(predicted: DataFrame, label: str = TARGET) -> DataFrame:
     return predicted.agg(F.count("*").alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"))
 
 
+def gate(predicted: DataFrame, baselines: DataFrame, split: str, label: str = TARGET) -> DataFrame:
+    """One row per baseline of a split (as baselines.metrics gives them): errors of the model and of the baseline, and whether the
+    model's RMSE and MAE are both lower. A model passes if it beats them all."""
+    own = errors(predicted.filter(F.col("split") == split), label).select(F.col("rmse").alias("model_rmse"), F.col("mae").alias("model_mae"))
+    rows = baselines.filter(F.col("split") == split).select("baseline", "rmse", "mae").join(F.broadcast(own), F.lit(True))
+    return rows.withColumn("beaten", (F.col("model_rmse") < F.col("rmse")) & (F.col("model_mae") < F.col("mae")))
+
+
 def save(model: PipelineModel, path: str, sidecar: dict | None = None, sidecar_path: str | None = None) -> None:
     model.write().overwrite().save(path)
     if sidecar is not None and sidecar_path:

@@ -50,20 +50,35 @@ def moments(df: DataFrame, column: str) -> DataFrame:
 PROBABILITIES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 
-def quantiles(df: DataFrame, column: str, probabilities=PROBABILITIES, where: Column | None = None, accuracy: int | None = None) -> DataFrame:
-    """(p, value). Exact by interpolation; with an accuracy from a mergeable sketch of relative error 1 / accuracy, for large tables."""
-    rows = df.filter(where) if where is not None else df
+def quantiles(df: DataFrame, column: str, probabilities=PROBABILITIES, where: Column | None = None, accuracy: int | None = 10_000) -> DataFrame:
+    """(p, value) from a mergeable sketch, whose ranks are wrong by a share of 1 / accuracy at most. Without an accuracy exact, by
+    interpolation: all distinct values then meet in one task, so that is for small tables."""
+    return population_quantiles(df, {"": (column, where)}, probabilities, accuracy).drop("population")
+
+
+def population_quantiles(df: DataFrame, populations: dict[str, tuple[str, Column | None]], probabilities=PROBABILITIES, accuracy: int | None = 10_000) -> DataFrame:
+    """(population, p, value) of several columns under conditions, in one pass."""
     ps = F.array(*[F.lit(p) for p in probabilities])
-    got = F.percentile_approx(column, ps, accuracy) if accuracy else F.percentile(F.col(column), ps)
-    return rows.agg(got.alias("v")).select(F.posexplode("v").alias("i", "value")).select(F.get(ps, F.col("i")).alias("p"), "value")
+    one = lambda x: F.percentile_approx(x, ps, accuracy) if accuracy else F.percentile(x, ps)
+    wanted = {name: F.col(c) if where is None else F.when(where, F.col(c)) for name, (c, where) in populations.items()}
+    got = df.agg(*[one(x).alias(f"v{i}") for i, x in enumerate(wanted.values())])
+    each = F.array(*[F.struct(F.lit(name).alias("population"), F.col(f"v{i}").alias("v")) for i, name in enumerate(wanted)])
+    rows = got.select(F.inline(each)).select("population", F.posexplode("v").alias("i", "value"))
+    return rows.select("population", F.get(ps, F.col("i")).alias("p"), "value")
+
+
+def energy_and_voltage_quantiles(df: DataFrame, accuracy: int | None = 10_000) -> DataFrame:
+    """All energy, energy above 0, and voltage above 0."""
+    return population_quantiles(df, {"energy": ("t_kwh", None), "active_energy": ("t_kwh", F.col("t_kwh") > 0), "voltage": ("voltage", F.col("voltage") > 0)}, accuracy=accuracy)
 
 
 def voltage_bands(df: DataFrame) -> DataFrame:
-    """One row: readings in each band of voltage, and with a frequency near 50 Hz."""
-    v, f = F.col("voltage"), F.col("freq")
+    """One row: readings in each band of voltage, and with a frequency near 50 Hz; means of voltage, frequency and current, and the most
+    current."""
+    v, f, i = F.col("voltage"), F.col("freq"), F.col("current")
     # The bands' bounds.
     bands = {"outage": v == 0, "below_180": (v > 0) & (v < 180), "from_180_to_200": (v >= 180) & (v < 200), "from_200_to_250": (v >= 200) & (v <= 250), "from_250_to_270": (v > 250) & (v <= 270), "over_270": v > 270, "over_300": v > 300, "freq_near_50": (f >= 49.90) & (f <= 50.05)}
-    return df.agg(F.count("*").alias("rows"), F.avg(F.when(v > 0, v)).alias("energised_mean"), *[F.count_if(c).alias(n) for n, c in bands.items()])
+    return df.agg(F.count("*").alias("rows"), F.avg(v).alias("mean_voltage"), F.avg(F.when(v > 0, v)).alias("energised_mean"), F.avg(F.when(f > 0, f)).alias("energised_freq"), F.avg(i).alias("mean_current"), F.max(i).alias("max_current"), *[F.count_if(c).alias(n) for n, c in bands.items()])
 
 
 def state_distribution(df: DataFrame, state: Column) -> DataFrame:

@@ -21,6 +21,17 @@ class StatePolicy:
     extreme_energy: float = 0.3
 
 
+# Labels of the forensic states, in the order in which they are tried.
+FORENSIC_LABELS = [
+    "State 1: Grid Outage / Blackout",
+    "State 2: Voluntary Standby / Idle",
+    "State 3: Brownout Supply",
+    "State 4: Normal Active Operation",
+    "State 5: Overvoltage Transient / Spike",
+    "State 6: Other Intermediate",
+]
+
+
 def cascade(branches: list[tuple[Column, object]], otherwise: object) -> Column:
     """The value of the first branch whose condition holds: the order is part of the meaning."""
     out = F.when(*branches[0])
@@ -49,9 +60,7 @@ def forensic_state(p: StatePolicy = StatePolicy()) -> Column:
     """The same, but an outage needs a frequency of 0 too."""
     c = _conditions(p)
     c["outage"] = c["outage"] & (F.col("freq") == 0)
-    # Labels of the states.
-    names = ("1_OUTAGE", "2_STANDBY", "3_BROWNOUT", "4_NORMAL", "5_OVERVOLTAGE")
-    return cascade(list(zip(c.values(), names, strict=True)), "6_UNCLASSIFIED")
+    return cascade(list(zip(c.values(), FORENSIC_LABELS, strict=False)), FORENSIC_LABELS[-1])
 
 
 def quality_flags(p: StatePolicy = StatePolicy()) -> dict[str, Column]:
@@ -66,13 +75,15 @@ def quality_flags(p: StatePolicy = StatePolicy()) -> dict[str, Column]:
     }
 
 
-def policy_flags(overcurrent: float = 100.0, freq: tuple[float, float] = (49.0, 51.0), time: str = "ts") -> dict[str, Column]:
-    """Flags that the data policy names beyond the silver contract."""
-    f = F.col("freq")
+def policy_flags(overcurrent: float = 50.0, freq: tuple[float, float] = (49.5, 50.5), dates: tuple[str, str] | None = None, time: str = "ts") -> dict[str, Column]:
+    """Flags that the data policy names beyond the silver contract. A frequency of 0 is abnormal too. dates: the first time that is valid
+    and the first that no longer is."""
+    f, t = F.col("freq"), F.col(time)
+    valid = t.isNotNull() if dates is None else (t >= F.lit(dates[0]).cast("timestamp")) & (t < F.lit(dates[1]).cast("timestamp"))
     return {
         "is_overcurrent": flag(F.col("current") > overcurrent),
-        "is_frequency_abnormal": flag((f > 0) & ~f.between(*freq)),
-        "is_valid_timestamp": flag(F.col(time).isNotNull()),
+        "is_frequency_abnormal": flag(~f.between(*freq)),
+        "is_valid_timestamp": flag(valid),
     }
 
 

@@ -26,6 +26,8 @@ CONFIG = Config(
     survivor_order=("event_id",),
 )
 
+#: The sketch of quantiles is exact up to so many rows; the layers' own default is coarser.
+RANKS = 1_000_000
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -173,9 +175,13 @@ def q_untyped_cast(spark, d):
 # -- validation and states ---------------------------------------------------------------------------------------------
 
 
-@query("q_quarantine_reasons", _rated(body="SELECT reason AS rejection_reason, CAST(count(*) AS BIGINT) AS n FROM rated WHERE reason <> '' GROUP BY 1"))
+_DATES = "CASE WHEN ts < TIMESTAMP '2024-01-02' OR ts > TIMESTAMP '2024-01-29' THEN 'TIMESTAMP_OUT_OF_BOUNDS' END,\n  CASE WHEN coalesce(meter_id"
+
+
+@query("q_quarantine_reasons", _sql(TEL, REASONS.replace("CASE WHEN coalesce(meter_id", _DATES), body="SELECT reason AS rejection_reason, CAST(count(*) AS BIGINT) AS n FROM rated WHERE reason <> '' GROUP BY 1"))
 def q_quarantine_reasons(spark, d):
-    rows = quality.assessed(_readings(spark, d), quality.reading_rules())
+    rules = quality.reading_rules(quality.Limits(first="2024-01-02 00:00:00", last="2024-01-29 00:00:00"))
+    rows = quality.assessed(_readings(spark, d), rules)
     return quality.quarantined(rows).groupBy("rejection_reason").agg(F.count("*").alias("n"))
 
 
@@ -210,17 +216,17 @@ def q_state_dist(spark, d):
 
 @query(
     "q_forensic_states",
-    _raw(body="""SELECT state, CAST(count(*) AS BIGINT) AS rows, round(avg(t_kwh), 9) AS mean_kwh, round(avg(voltage), 9) AS mean_voltage FROM (SELECT *, CASE WHEN voltage = 0 AND freq = 0 THEN '1_OUTAGE'
-    WHEN voltage >= 180 AND current <= 0.05e0 AND t_kwh = 0 THEN '2_STANDBY' WHEN voltage > 0 AND voltage < 180 THEN '3_BROWNOUT' WHEN voltage BETWEEN 180 AND 260 THEN '4_NORMAL'
-    WHEN voltage > 260 THEN '5_OVERVOLTAGE' ELSE '6_UNCLASSIFIED' END AS state FROM raw) GROUP BY 1"""),
+    _raw(body="""SELECT state, CAST(count(*) AS BIGINT) AS rows, round(avg(t_kwh), 9) AS mean_kwh, round(avg(voltage), 9) AS mean_voltage FROM (SELECT *, CASE WHEN voltage = 0 AND freq = 0 THEN 'State 1: Grid Outage / Blackout'
+    WHEN voltage >= 180 AND current <= 0.05e0 AND t_kwh = 0 THEN 'State 2: Voluntary Standby / Idle' WHEN voltage > 0 AND voltage < 180 THEN 'State 3: Brownout Supply' WHEN voltage BETWEEN 180 AND 260 THEN 'State 4: Normal Active Operation'
+    WHEN voltage > 260 THEN 'State 5: Overvoltage Transient / Spike' ELSE 'State 6: Other Intermediate' END AS state FROM raw) GROUP BY 1"""),
 )
 def q_forensic_states(spark, d):
     return _rounded(profile.state_distribution(_readings(spark, d), states.forensic_state()))
 
 
-@query("q_policy_flags", _raw(body="SELECT event_id, CAST(current > 40 AS INT) AS is_overcurrent, CAST(freq > 0 AND NOT freq BETWEEN 49 AND 51 AS INT) AS is_frequency_abnormal, CAST(ts IS NOT NULL AS INT) AS is_valid_timestamp FROM raw"))
+@query("q_policy_flags", _raw(body="SELECT event_id, CAST(current > 50.0e0 AS INT) AS is_overcurrent, CAST(freq < 49.5e0 OR freq > 50.5e0 AS INT) AS is_frequency_abnormal, CAST(ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-29' AS INT) AS is_valid_timestamp FROM raw"))
 def q_policy_flags(spark, d):
-    return _readings(spark, d).select("event_id", *[c.alias(n) for n, c in states.policy_flags(overcurrent=40.0).items()])
+    return _readings(spark, d).select("event_id", *[c.alias(n) for n, c in states.policy_flags(dates=("2024-01-02 00:00:00", "2024-01-29 00:00:00")).items()])
 
 
 @query(
@@ -306,7 +312,7 @@ def q_raw_bounds(spark, d):
 
 
 @query("q_series_lifespan", _raw(body="""SELECT district, meter_id, CAST(count(*) AS BIGINT) AS readings, min(ts) AS first, max(ts) AS last, round(avg(t_kwh), 9) AS mean_kwh,
-    CAST(count_if(voltage = 0 AND freq = 0) AS BIGINT) AS outages, CAST(count_if(t_kwh = 0 AND voltage > 180 AND current = 0) AS BIGINT) AS standbys FROM raw GROUP BY ALL"""))
+    CAST(count_if(voltage = 0 AND freq = 0) AS BIGINT) AS outages, CAST(count_if(t_kwh = 0 AND voltage > 180 AND current = 0) AS BIGINT) AS standbys, round((floor(epoch(max(ts))) - floor(epoch(min(ts)))) / 86400, 1) AS lifespan_days FROM raw GROUP BY ALL"""))
 def q_series_lifespan(spark, d):
     return _rounded(forensics.lifespans(_readings(spark, d)))
 
@@ -318,18 +324,19 @@ def q_time_bounds(spark, d):
 
 @query(
     "q_coverage",
-    _raw(body="""SELECT district, meter_id, readings, expected, round(readings * 100e0 / expected, 4) AS coverage_pct, round(readings * 100e0 / slots, 4) AS global_coverage_pct
-    FROM (SELECT district, meter_id, CAST(count(*) AS BIGINT) AS readings, CAST(floor((floor(epoch(max(ts))) - floor(epoch(min(ts)))) / 180) + 1 AS BIGINT) AS expected FROM raw GROUP BY ALL),
+    _raw(body="""SELECT district, meter_id, readings, expected, round(readings * 100e0 / expected, 4) AS coverage_pct, round(readings * 100e0 / slots, 4) AS global_coverage_pct,
+    round(o * 100e0 / readings, 4) AS outage_pct, round(s * 100e0 / readings, 4) AS standby_pct
+    FROM (SELECT district, meter_id, CAST(count(*) AS BIGINT) AS readings, count_if(voltage = 0 AND freq = 0) AS o, count_if(t_kwh = 0 AND voltage > 180 AND current = 0) AS s, CAST(floor((floor(epoch(max(ts))) - floor(epoch(min(ts)))) / 180) + 1 AS BIGINT) AS expected FROM raw GROUP BY ALL),
     (SELECT CAST(floor((floor(epoch(max(ts))) - floor(epoch(min(ts)))) / 180) + 1 AS BIGINT) AS slots FROM raw)"""),
 )
 def q_coverage(spark, d):
-    return forensics.coverage(_readings(spark, d)).select("district", "meter_id", "readings", "expected", "coverage_pct", "global_coverage_pct")
+    return forensics.coverage(_readings(spark, d)).select("district", "meter_id", "readings", "expected", "coverage_pct", "global_coverage_pct", "outage_pct", "standby_pct")
 
 
 @query(
     "q_gap_distribution",
-    _raw(body="""SELECT category, CAST(count(*) AS BIGINT) AS gaps, min(delta) AS least, max(delta) AS most, round(avg(delta), 6) AS mean FROM (SELECT delta, CASE WHEN delta < 180 THEN '0_SHORTER'
-    WHEN delta = 180 THEN '1_NOMINAL' WHEN delta <= 900 THEN '2_UP_TO_15_MIN' WHEN delta <= 3600 THEN '3_UP_TO_1_HOUR' WHEN delta <= 86400 THEN '4_UP_TO_1_DAY' ELSE '5_OVER_1_DAY' END AS category
+    _raw(body="""SELECT category, CAST(count(*) AS BIGINT) AS gaps, min(delta) AS least, max(delta) AS most, round(avg(delta), 6) AS mean FROM (SELECT delta, CASE WHEN delta < 180 THEN '0. Anomaly (< 3 min)'
+    WHEN delta = 180 THEN '1. Exact 3-min (Nominal)' WHEN delta <= 900 THEN '2. Short Gap (3m - 15m)' WHEN delta <= 3600 THEN '3. Medium Gap (15m - 1h)' WHEN delta <= 86400 THEN '4. Long Gap (1h - 24h)' ELSE '5. Extended Dropout (> 24h)' END AS category
     FROM (SELECT CAST(floor(epoch(ts)) AS BIGINT) - CAST(floor(epoch(lag(ts) OVER (PARTITION BY district, meter_id ORDER BY ts))) AS BIGINT) AS delta FROM raw) WHERE delta IS NOT NULL) GROUP BY 1"""),
 )
 def q_gap_distribution(spark, d):
@@ -345,10 +352,12 @@ def q_district_compare(spark, d):
     return _rounded(forensics.district_comparison(_readings(spark, d)))
 
 
-@query("q_quantiles", _raw(body="SELECT p, round(quantile_cont(voltage, p), 9) AS value FROM raw, (SELECT unnest([0.1e0, 0.5e0, 0.9e0]) AS p) WHERE voltage > 0 GROUP BY p".replace("quantile_cont(voltage, p)", "CASE p WHEN 0.1e0 THEN quantile_cont(voltage, 0.1) WHEN 0.5e0 THEN quantile_cont(voltage, 0.5) ELSE quantile_cont(voltage, 0.9) END")))
+@query(
+    "q_quantiles",
+    _raw(body=" UNION ALL ".join(f"SELECT '{n}' AS population, CAST({p} AS DOUBLE) AS p, quantile_disc({c}, {p}) AS value FROM raw WHERE {w}" for n, c, w in (("energy", "t_kwh", "true"), ("active_energy", "t_kwh", "t_kwh > 0"), ("voltage", "voltage", "voltage > 0")) for p in profile.PROBABILITIES)),
+)
 def q_quantiles(spark, d):
-    got = profile.quantiles(_readings(spark, d), "voltage", (0.1, 0.5, 0.9), F.col("voltage") > 0)
-    return got.select("p", F.round("value", 9).alias("value"))
+    return profile.energy_and_voltage_quantiles(_readings(spark, d), RANKS)
 
 
 @query(
@@ -363,7 +372,7 @@ def q_moments(spark, d):
 
 @query(
     "q_voltage_bands",
-    _raw(body="""SELECT CAST(count(*) AS BIGINT) AS rows, round(avg(CASE WHEN voltage > 0 THEN voltage END), 9) AS energised_mean, CAST(count_if(voltage = 0) AS BIGINT) AS outage,
+    _raw(body="""SELECT CAST(count(*) AS BIGINT) AS rows, round(avg(voltage), 9) AS mean_voltage, round(avg(CASE WHEN voltage > 0 THEN voltage END), 9) AS energised_mean, round(avg(CASE WHEN freq > 0 THEN freq END), 9) AS energised_freq, round(avg(current), 9) AS mean_current, round(max(current), 9) AS max_current, CAST(count_if(voltage = 0) AS BIGINT) AS outage,
     CAST(count_if(voltage > 0 AND voltage < 180) AS BIGINT) AS below_180, CAST(count_if(voltage >= 180 AND voltage < 200) AS BIGINT) AS from_180_to_200,
     CAST(count_if(voltage >= 200 AND voltage <= 250) AS BIGINT) AS from_200_to_250, CAST(count_if(voltage > 250 AND voltage <= 270) AS BIGINT) AS from_250_to_270,
     CAST(count_if(voltage > 270) AS BIGINT) AS over_270, CAST(count_if(voltage > 300) AS BIGINT) AS over_300, CAST(count_if(freq >= 49.9e0 AND freq <= 50.05e0) AS BIGINT) AS freq_near_50 FROM raw"""),
@@ -466,7 +475,7 @@ def q_b2_b3_align(spark, d):
 
 @query("q_b2_b3_frames", _aligned_sql(body=f"SELECT {_KEY}, split, {_PRED} FROM aligned"))
 def q_b2_b3_frames(spark, d):
-    return _predictions(baselines.aligned_by_frames(_features(spark, d), guard=False))
+    return _predictions(baselines.aligned_by_frames(_features(spark, d)))
 
 
 _U = {b: f"coalesce(isfinite({b}_pred) AND {b}_pred >= 0, false)" for b in baselines.BASELINES}
@@ -508,14 +517,16 @@ def q_metrics(spark, d):
 
 @query(
     "q_series_profile",
-    _gold_sql(body="""SELECT a.*, round(m, 9) AS mean_daily_kwh FROM (SELECT district, meter_id, round(quantile_cont(hourly_kwh, 0.5), 9) AS median_kwh, round(stddev_samp(hourly_kwh) / avg(hourly_kwh), 9) AS cv,
+    _gold_sql(body="""SELECT a.*, round(m, 9) AS mean_daily_kwh, round(s, 9) AS brownout_share FROM (SELECT district, meter_id, round(quantile_disc(hourly_kwh, 0.5), 9) AS median_kwh, round(stddev_samp(hourly_kwh) / avg(hourly_kwh), 9) AS cv,
     round(max(hourly_kwh) / avg(hourly_kwh), 9) AS peak_to_average, round(sum(CASE WHEN hour(window_start) BETWEEN 6 AND 17 THEN hourly_kwh END) / sum(CASE WHEN NOT hour(window_start) BETWEEN 6 AND 17 THEN hourly_kwh END), 9) AS day_night,
     round(avg(CASE WHEN dayofweek(window_start) IN (0, 6) THEN hourly_kwh END) / avg(CASE WHEN NOT dayofweek(window_start) IN (0, 6) THEN hourly_kwh END), 9) AS weekend_weekday,
-    CAST(sum(is_outage_hour) AS BIGINT) AS outage_hours, round(avg(brownout_ratio), 9) AS brownout_share FROM gold GROUP BY ALL) a JOIN (SELECT district, meter_id, avg(e) AS m FROM (SELECT district, meter_id,
-    CAST(window_start AS DATE) AS day, sum(hourly_kwh) AS e FROM gold GROUP BY ALL) GROUP BY ALL) b USING (district, meter_id)"""),
+    CAST(sum(is_outage_hour) AS BIGINT) AS outage_hours FROM gold GROUP BY ALL) a JOIN (SELECT district, meter_id, avg(e) AS m FROM (SELECT district, meter_id,
+    CAST(window_start AS DATE) AS day, sum(hourly_kwh) AS e FROM gold GROUP BY ALL) GROUP BY ALL) b USING (district, meter_id)
+    JOIN (SELECT district, meter_id, avg(CAST(voltage < 200 AS INT)) AS s FROM silver GROUP BY ALL) c USING (district, meter_id)"""),
 )
 def q_series_profile(spark, d):
-    return _rounded(forensics.customer_profile(_gold(spark, d), HOURS))
+    silver = _silver(spark, d)
+    return _rounded(forensics.customer_profile(resample.hourly(silver, CONFIG.hours), silver, HOURS, accuracy=RANKS))
 
 
 @query(
@@ -545,28 +556,3 @@ def q_union(spark, d):
 def q_share_of_states(spark, d):
     n = F.count("*")
     return _silver(spark, d).groupBy("district").agg(*[F.round(share(F.sum(f"is_{c}"), n, 100.0), 6).alias(f"{c}_pct") for c in ("outage", "standby", "brownout")])
-
-
-# -- models: no SQL can express these ----------------------------------------------------------------------------------
-
-
-@query("q_kmeans")
-def q_kmeans(spark, d):
-    """Series by user, as there are few meters: cluster sizes of the best number of clusters by silhouette."""
-    rows = telemetry(table(spark, d, "events")).join(table(spark, d, "events").select("event_id", "user_id"), "event_id")
-    per = rows.groupBy("user_id").agg(F.avg("t_kwh").alias("mean"), F.coalesce(F.stddev("t_kwh"), F.lit(0.0)).alias("std"), F.avg((F.col("voltage") < 200).cast("int")).alias("brownout")).persist()
-    try:
-        best = max(ml.cluster_search(per, ["mean", "std", "brownout"], range(3, 5)), key=lambda x: x["silhouette"])
-        return best["model"].transform(per).groupBy("cluster").agg(F.count("*").alias("users"), F.lit(round(best["silhouette"], 6)).alias("silhouette"), F.lit(round(best["davies_bouldin"], 6)).alias("davies_bouldin"))
-    finally:
-        per.unpersist()
-
-
-@query("q_linear")
-def q_linear(spark, d):
-    """Errors of the linear models on the validation split; none without training rows."""
-    rows = _features(spark, d)
-    if rows.filter("split = 'TRAIN' and is_valid_forecast_instance = 1").isEmpty():
-        return spark.createDataFrame([], "n long, rmse double, mae double, model string")
-    val = rows.filter("split = 'VAL' and is_valid_forecast_instance = 1")
-    return united([ml.errors(ml.trained(rows, kind).transform(val)).withColumn("model", F.lit(kind)) for kind in ("ols", "ridge", "elastic")])

@@ -79,7 +79,7 @@ def build_features(spark: SparkSession, gold_path: str, features_path: str, conf
 
 def evaluate(spark: SparkSession, features_path: str, report_path: str | None = None, splits=("TRAIN", "VAL")) -> dict:
     """Baselines on each split's common cohort, as a report."""
-    rows = baselines.aligned(read_parquet(spark, features_path), splits).persist()
+    rows = baselines.aligned_by_frames(read_parquet(spark, features_path), splits).persist()
     try:
         report = {"metadata": {"spark": spark.version, "features": features_path}, "splits": {s: baselines.evaluated(rows, s) for s in splits}}
     finally:
@@ -101,7 +101,7 @@ def temporal(readings: DataFrame, cadence: int = forensics.CADENCE) -> dict[str,
 
 
 def resolution(readings: DataFrame, widths=("15 minutes", "30 minutes", "1 hour")) -> dict[str, DataFrame]:
-    out = {"moments": profile.moments(readings, "t_kwh"), "quantiles": profile.quantiles(readings, "t_kwh"), "bands": profile.voltage_bands(readings), "states": profile.state_distribution(readings, forensic_state()), "raw": forensics.signal(readings, "t_kwh", READINGS)}
+    out = {"moments": profile.moments(readings, "t_kwh"), "quantiles": profile.energy_and_voltage_quantiles(readings), "bands": profile.voltage_bands(readings), "states": profile.state_distribution(readings, forensic_state()), "raw": forensics.signal(readings, "t_kwh", READINGS)}
     for width in widths:
         out[width] = forensics.signal(resampled(readings, width), "energy", HOURS.at("window_start", "energy"))
     return out

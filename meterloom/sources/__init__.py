@@ -82,10 +82,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def telemetry(events: DataFrame) -> DataFrame:
-    """Event rows as raw readings: five dense series with outages, brownouts, spikes and rows that validation rejects."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    return events.select(
+def telemetry(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Event rows as raw readings: five dense series with outages, brownouts, spikes and rows that validation rejects. The JSON is parsed
+    by a generator, once for each row: an expression would be copied into every filter and column that comes of it."""
+    parsed = events.select("event_id", "event_type", "ts", "value", *keep, F.json_tuple("props", "k").alias("k"))
+    k = F.col("k").cast("int")
+    return parsed.select(
         "event_id",
         F.when(F.col("event_type").isin("click", "error"), "A").otherwise("B").alias("district"),
         F.col("event_type").alias("meter_id"),
@@ -95,6 +97,7 @@ def telemetry(events: DataFrame) -> DataFrame:
         F.when(k % 12 == 0, 0.0).otherwise(F.lit(170.0) + F.lit(1.4) * k).alias("voltage"),
         F.when(k % 7 == 0, 0.0).otherwise(F.col("value") / 10.0).alias("current"),
         F.when(k % 12 == 0, 0.0).when(k == 13, 19.4).otherwise(50.0).alias("freq"),
+        *keep,
     )
 
 
@@ -106,10 +109,11 @@ def inspect(df: DataFrame, rows: int = 5) -> dict:
 # -- sinks -------------------------------------------------------------------------------------------------------------
 
 
-def write_layer(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
-    """Parquet in place of what is there, a folder for each value of `by`; rows of a folder come together, so files are few."""
-    out = df.repartition(*by) if by else df
-    writer = out.write.mode("overwrite")
+def write_layer(df: DataFrame, path: str, by: tuple[str, ...] = (), rows_per_file: int = 5_000_000) -> None:
+    """Parquet in place of what is there, a folder for each value of `by`. Rows of a folder come together, so files are few, but a large
+    folder is dealt to as many tasks as its size asks for: adaptive execution splits it by the advisory size of partitions."""
+    out = df.hint("rebalance", *by) if by else df
+    writer = out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 

@@ -7,6 +7,7 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry
+from meterloom.plans import stored  # noqa: F401 - adds its queries
 from meterloom.plans.catalogue import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -5,6 +5,7 @@ import re
 import pytest
 from conftest import TESTDATA
 
+from meterloom.plans import stored  # noqa: F401 - adds its queries
 from meterloom.plans.catalogue import QUERIES
 
 SF = f"{TESTDATA}/sf0.001"
@@ -31,11 +32,18 @@ def test_shuffles(spark, name, most):
     assert shuffles(text) <= most and "Join" not in text and "CartesianProduct" not in text
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in ("q_kmeans", "q_linear")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in ("q_kmeans", "q_models")))
 def test_no_python(spark, name):
     assert not re.search("Python|Arrow|Pandas", plan(spark, name))
 
 
+@pytest.mark.parametrize("name", ["q_state_classify", "q_gold_hourly", "q_feature_store", "q_b2_b3_frames", "q_metrics"])
+def test_json_is_parsed_once(spark, name):
+    """However often columns that come of it are used."""
+    text = plan(spark, name)
+    assert len(re.findall(r"Generate json_tuple", text)) == 1 and "get_json_object" not in text
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     from meterloom.operators import baselines
     from meterloom.sources import write_layer

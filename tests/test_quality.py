@@ -55,16 +55,16 @@ def test_quarantine_and_duplicates(spark):
 @pytest.mark.parametrize(
     "v, i, e, f, silver, forensic",
     [
-        (0.0, 0.0, 0.0, 0.0, 1, "1_OUTAGE"),
-        (0.0, 0.0, 0.0, 50.0, 1, "6_UNCLASSIFIED"),
-        (280.0, 0.0, 0.0, 50.0, 2, "2_STANDBY"),
-        (280.0, 0.0501, 0.0, 50.0, 5, "5_OVERVOLTAGE"),
-        (180.0, 0.05, 0.0, 50.0, 2, "2_STANDBY"),
-        (0.01, 0.0, 0.0, 50.0, 3, "3_BROWNOUT"),
-        (179.99, 1.0, 0.1, 50.0, 3, "3_BROWNOUT"),
-        (180.0, 1.0, 0.1, 50.0, 4, "4_NORMAL"),
-        (260.0, 1.0, 0.1, 50.0, 4, "4_NORMAL"),
-        (260.01, 1.0, 0.1, 50.0, 5, "5_OVERVOLTAGE"),
+        (0.0, 0.0, 0.0, 0.0, 1, "State 1: Grid Outage / Blackout"),
+        (0.0, 0.0, 0.0, 50.0, 1, "State 6: Other Intermediate"),
+        (280.0, 0.0, 0.0, 50.0, 2, "State 2: Voluntary Standby / Idle"),
+        (280.0, 0.0501, 0.0, 50.0, 5, "State 5: Overvoltage Transient / Spike"),
+        (180.0, 0.05, 0.0, 50.0, 2, "State 2: Voluntary Standby / Idle"),
+        (0.01, 0.0, 0.0, 50.0, 3, "State 3: Brownout Supply"),
+        (179.99, 1.0, 0.1, 50.0, 3, "State 3: Brownout Supply"),
+        (180.0, 1.0, 0.1, 50.0, 4, "State 4: Normal Active Operation"),
+        (260.0, 1.0, 0.1, 50.0, 4, "State 4: Normal Active Operation"),
+        (260.01, 1.0, 0.1, 50.0, 5, "State 5: Overvoltage Transient / Spike"),
     ],
 )
 def test_states(spark, v, i, e, f, silver, forensic):

@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -6,6 +7,7 @@ from test_hours import POLICY, hours
 from test_quality import readings
 
 from meterloom import sources
+from meterloom.__main__ import main
 from meterloom.functions import parsed_time
 from meterloom.operators import features, invariants, ml, resample, states
 from meterloom.plans import pipelines
@@ -49,6 +51,33 @@ def test_layers_from_files(spark, tmp_path):
         assert all(df.count() for df in made.values())
 
 
+def test_command_line(spark, tmp_path, capsys):
+    """The same layers by commands."""
+    a = csv(tmp_path / "a.csv", [f"2024-01-01 0{h}:{m:02d}:00,0.1,230,1,50,m1" for h in range(3) for m in range(0, 60, 3)])
+    (tmp_path / "files.json").write_text(json.dumps([{"path": a, "district": "A", "file_year": 2024}]))
+    at = lambda x: str(tmp_path / x)
+    main(["silver", "--manifest", at("files.json"), "--output", at("s"), "--quarantine", at("q")])
+    main(["gold", "--silver", at("s"), "--output", at("g")])
+    main(["features", "--gold", at("g"), "--output", at("f")])
+    main(["evaluate", "--features", at("f"), "--output-json", at("r.json")])
+    main(["audit", "--silver", at("s")])
+    assert "rows: 3" in capsys.readouterr().out and "cohort_audit" in (tmp_path / "r.json").read_text()
+
+
+def test_layers_are_written_by_many_tasks(spark, tmp_path):
+    """A folder larger than a partition should be is split; small ones aren't."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "65536")
+    try:
+        df = spark.range(200_000, numPartitions=4).select(F.lit("A").alias("district"), F.uuid().alias("x"))
+        sources.write_layer(df.union(spark.createDataFrame([("B", "y")], df.schema)), str(tmp_path / "w"), ("district",))
+    finally:
+        spark.conf.set(key, before)
+    files = {x: len([f for f in os.listdir(tmp_path / "w" / x) if f.endswith(".parquet")]) for x in ("district=A", "district=B")}
+    assert files["district=A"] > 1 and files["district=B"] == 1 and spark.read.parquet(str(tmp_path / "w")).count() == 200_001
+
+
 def test_names_and_casts(spark, tmp_path):
     assert sources.canonical_names(["Meter No", "x_Timestamp", "t_kWh", "z_Avg Voltage (Volt)", "Amp", "Hz", "note"]) == {"Meter No": "meter_id", "x_Timestamp": "ts_str", "t_kWh": "t_kwh", "z_Avg Voltage (Volt)": "voltage", "Amp": "current", "Hz": "freq"}
     path = csv(tmp_path / "u.csv", ["2024-01-01,x,1,2,50,m", "2024-01-01,0.5,1,2,50,m"])
