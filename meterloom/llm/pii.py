@@ -6,8 +6,9 @@ through a keyed Feistel network over its own format, so the result is valid too,
 get equal pseudonyms in every document. Secrets of hexadecimal digits are permuted the same way. E-mail addresses, which have no
 fixed format, become keyed digests. Candidates that aren't valid stay as they are.
 
-A text without any of these comes back unchanged; null stays null, empty stays empty. A document is one row from end to end:
-nothing is shuffled. Keys are a parameter; whoever has the key can link values, so a real one belongs in a secret store.
+A text without any of these comes back unchanged; null stays null, empty stays empty. Texts are taken whole, however long. A document is
+one row from end to end: nothing is shuffled, rows that repeat give equal rows, and an empty table gives an empty one. Where two
+patterns fit at a place, the first of PATTERNS counts. Columns beside the text go along, whatever their names. Keys are a parameter; whoever has the key can link values, so a real one belongs in a secret store.
 """
 
 from __future__ import annotations
@@ -145,17 +146,30 @@ def ssn(x: Column, key: str) -> Column:
     return F.when(valid, let(got, back)).otherwise(x)
 
 
+#: Days before year 200, of 400 years, and of 24 times 400 years: so many 400-year cycles there are from year 200 to 9799.
+_HEAD, _CYCLE, _CYCLES = 72_683, 146_097, 24 * 146_097
+#: A date's beginning, and how the date is read and written.
+DATE_FORMS = ((r"^[0-9]{4}-", "yyyy-MM-dd"), (r"^[0-9]{2}/", "dd/MM/yyyy"), (r"^[0-9]{2}/", "MM/dd/yyyy"), (r"^[0-9]{2}\.", "dd.MM.yyyy"))
+
+
 def date(x: Column, key: str) -> Column:
-    """Days of the 400 years from 1800-01-01, 189 * 773 of them; day before month where that is a date, else month before day."""
-    first = F.lit("1800-01-01").cast("date")
+    """Dates of the years 1 to 9999. Each stays in its cycle of 400 years (1800 to 2199, and so on), of 189 * 773 days; those before year 200
+    and after 9799 are one set of 93 * 1567 days. Day before month where that is a date, else month before day."""
+    first = F.lit("0001-01-01").cast("date")
 
-    def moved(kind: str) -> Column:
-        def of(n: Column) -> Column:
-            return F.when(n.between(0, 146096), let(feistel_pair(F.floor(n / 773), n % 773, 189, 773, key, "date"), lambda s: F.date_format(F.date_add(first, (s["a"] * 773 + s["b"]).cast("int")), kind)))
+    def new_day(m: Column) -> Column:
+        n, end = (m - _HEAD) % _CYCLE, F.when(m < _HEAD, m).otherwise(m - _CYCLES)
+        inside = m.between(_HEAD, _HEAD + _CYCLES - 1)
+        among = let(feistel_pair(F.floor(n / 773), n % 773, 189, 773, key, "date"), lambda s: m - n + s["a"] * 773 + s["b"])
+        at_ends = let(feistel_pair(F.floor(end / 1567), end % 1567, 93, 1567, key, "far date"), lambda s: s["a"] * 1567 + s["b"])
+        return F.when(inside, among).otherwise(let(at_ends, lambda i: F.when(i < _HEAD, i).otherwise(i + _CYCLES)))
 
-        return let(F.datediff(F.try_to_timestamp(x, F.lit(kind)).cast("date"), first), of)
+    def of(days: Column) -> Column:
+        which = F.array_position(F.transform(days, lambda v: v.isNotNull()), True)
+        written = lambda d: F.coalesce(*[F.when(which == i, F.date_format(d, kind)) for i, (_, kind) in enumerate(DATE_FORMS, 1)])
+        return F.when(which == 0, x).otherwise(let(F.get(days, (which - 1).cast("int")), lambda m: let(F.date_add(first, new_day(m).cast("int")), written)))
 
-    return F.coalesce(*[F.when(x.rlike(p), moved(kind)) for p, kind in ((r"^[0-9]{4}-", "yyyy-MM-dd"), (r"^[0-9]{2}/", "dd/MM/yyyy"), (r"^[0-9]{2}/", "MM/dd/yyyy"), (r"^[0-9]{2}\.", "dd.MM.yyyy"))], x)
+    return let(F.array(*[F.when(x.rlike(p), F.datediff(F.try_to_timestamp(x, F.lit(kind)).cast("date"), first)) for p, kind in DATE_FORMS]), of)
 
 
 def _mod97(s: Column) -> Column:
@@ -169,7 +183,8 @@ def _mod97(s: Column) -> Column:
 
 
 def iban(x: Column, key: str) -> Column:
-    """Country and letters stay; the account's digits are permuted and the check digits made anew."""
+    """The country stays, and so do the account's letters; its digits are permuted (its letters, where it has hardly a digit) and the
+    check digits made anew."""
 
     def of(s: Column) -> Column:
         country, account = F.substring(s, 1, 2), F.substring(s, F.lit(5), F.length(s))
@@ -179,7 +194,7 @@ def iban(x: Column, key: str) -> Column:
             check = F.lpad((98 - _mod97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0")
             return let(F.concat(country, check, a), lambda full: _refill(x, full, "[0-9A-Z]"))
 
-        permuted = let(_digits(account), lambda d: F.when(F.length(d) < 2, account).otherwise(_refill(account, _joined(feistel(_numbers(d, _DIGITS), 10, key, "iban"), _DIGITS))))
+        permuted = let(_digits(account), lambda d: F.when(F.length(d) < 2, let(F.regexp_replace(account, "[^A-Z]", ""), lambda l: _refill(account, _joined(feistel(_numbers(l, _LETTERS), 26, key, "iban"), _LETTERS), "[A-Z]"))).otherwise(_refill(account, _joined(feistel(_numbers(d, _DIGITS), 10, key, "iban"), _DIGITS))))
         return F.when(valid, let(permuted, made)).otherwise(x)
 
     return let(F.replace(x, F.lit(" "), F.lit("")), of)
