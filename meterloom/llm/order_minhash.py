@@ -5,7 +5,9 @@ numbered k-mers of least hash, puts them back in text order, and hashes that ord
 signature, which a set-based sketch wouldn't notice. Likeness is the share of equal entries.
 
 A text shorter than K is one k-mer; a text with a single k-mer has pairs of it alone. Empty and null texts have a signature of
-zeros, alike to each other (1.0) and to nothing else. Texts of any length are taken whole; memory is in proportion to one text.
+zeros, alike to each other (1.0) and to nothing else. Texts of any length are taken whole; memory is in proportion to one text. Of
+equal hash values the first in the text counts. Rows that repeat have equal signatures; an empty table gives an empty one, and columns
+beside id and text are not read.
 """
 
 from __future__ import annotations
@@ -40,13 +42,13 @@ def fingerprint(text: str, k: int = K, sketches: int = SKETCHES) -> np.ndarray:
         h *= np.uint64(0x100000001B3 + 2 * j)
         h += code[j : j + n]
     h = mix(h)
-    # occurrence numbers: sorting (hash, position) brings equal k-mers together in text order
-    if n < 1 << 24:
+    # occurrence numbers: sorting (hash, position) brings equal k-mers together in text order; 40 bits of hash tell them apart
+    if n < 1 << 24:  # both in one number
         both = np.sort((h & np.uint64(0xFFFFFFFFFF000000)) | np.arange(n, dtype=np.uint64))
         at, key = (both & np.uint64(0xFFFFFF)).astype(np.int64), both >> np.uint64(24)
     else:
-        at = np.argsort(h, kind="stable")
-        key = h[at]
+        at = np.argsort(h >> np.uint64(24), kind="stable")
+        key = h[at] >> np.uint64(24)
     number = np.arange(n)
     first = np.zeros(n, np.int64)
     new = np.flatnonzero(key[1:] != key[:-1]) + 1
@@ -72,6 +74,11 @@ def fingerprint(text: str, k: int = K, sketches: int = SKETCHES) -> np.ndarray:
     return np.where(out == 0, 1, out)
 
 
+def shown(signature: np.ndarray) -> str:
+    """A signature as hexadecimal digits, 16 for each entry."""
+    return signature.astype(">i8").tobytes().hex()
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((a == b).mean())
 
@@ -120,7 +127,8 @@ def in_order(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 
 def against_edits(docs: DataFrame, k: int = K, sketches: int = SKETCHES) -> DataFrame:
-    """Per document its signature, that of its edited text, and the likeness of its own to that and to the next document's.
+    """Per document its signature, that of its edited text (both as hexadecimal digits), and the likeness of its own to that and to the
+    next document's.
 
     Ids that repeat follow each other in the order of their texts (null first).
     """
@@ -139,9 +147,9 @@ def against_edits(docs: DataFrame, k: int = K, sketches: int = SKETCHES) -> Data
             for i, (d, t) in enumerate(rows):
                 e = edited(t, nexts[i])
                 f = own[i] if e == t else fingerprint(e, k, sketches)
-                for name, x in zip(out, (d, len(t), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), own[i], f, likeness(own[i], f), likeness(own[i], own[i + 1])), strict=True):
+                for name, x in zip(out, (d, len(t), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), shown(own[i]), shown(f), likeness(own[i], f), likeness(own[i], own[i + 1])), strict=True):
                     out[name].append(x)
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.float64(), pa.float64()]
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
             return pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(out.values(), kinds, strict=True)], names=list(out))
 
         part = None
@@ -161,4 +169,4 @@ def against_edits(docs: DataFrame, k: int = K, sketches: int = SKETCHES) -> Data
                     yield block(pending[:-1], t)
                     pending = pending[-1:]
 
-    return in_order(docs).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint array<long>, edited_fingerprint array<long>, near_edited double, near_next double")
+    return in_order(docs).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
