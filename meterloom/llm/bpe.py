@@ -459,6 +459,24 @@ class Encoder:
                 ids = [all_ids[a:b].tolist() for a, b in zip(total[:-1].tolist(), total[1:].tolist(), strict=True)]
             yield np.diff(total), ids_text, decoded, ids
 
+    def counts(self, texts: list[str], most: int = BLOCK_CHARS):
+        """Numbers of ids of runs of texts, as blocks() gives them, without the ids."""
+        at = 0
+        while at < len(texts):
+            pieces, sizes, size = [], [], 0
+            while at < len(texts) and (not sizes or size < most):
+                x = self.v.pieces(texts[at])
+                pieces += x
+                sizes.append(len(x))
+                size += len(texts[at])
+                at += 1
+            coded = pa.array(pieces, pa.string()).dictionary_encode()
+            del pieces
+            counts, _ = self.distinct(coded.dictionary.to_pylist())
+            total = np.concatenate([[0], np.cumsum(counts[coded.indices.to_numpy(zero_copy_only=False)])])
+            ends = np.cumsum(np.array(sizes, np.int64))
+            yield total[ends] - total[ends - sizes]
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [x for block in self.blocks(texts, True) for x in block[3]]
 
@@ -520,8 +538,8 @@ def frequent_words(docs: DataFrame, vocabulary_bytes, text: str, most: int = LEX
     return parts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
 
 
-def encode_decode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Per document: id, n_tokens, ids_sha256, decoded_sha256 and, on request, ids and decoded text."""
+def _shared(docs: DataFrame, vocabulary_path: str, text: str) -> tuple:
+    """The vocabulary and the lexicon of the texts' frequent words, as broadcasts."""
     batch_rows(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     with open(vocabulary_path, encoding="utf-8") as f:
@@ -529,7 +547,25 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_i
     shared_spec = sc.broadcast(spec)
     v = Vocabulary(spec)
     words = [r[0].encode() for r in frequent_words(docs, shared_spec, text).collect()]  # at most LEXICON_WORDS
-    block = sc.broadcast(compile_lexicon(dict(zip(words, v.merge_many(words), strict=True))))
+    return shared_spec, sc.broadcast(compile_lexicon(dict(zip(words, v.merge_many(words), strict=True))))
+
+
+def token_counts(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """id, n: how many ids each text has."""
+    shared_spec, block = _shared(docs, vocabulary_path, text)
+
+    def run(batches):
+        enc = worker_encoder(shared_spec, block)
+        for b in gathered(batches):
+            counts = [x for y in enc.counts(_texts(b.column(1))) for x in y.tolist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64())], names=[id_column, "n"])
+
+    return docs.select(id_column, text).mapInArrow(run, f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}, n long")
+
+
+def encode_decode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
+    """Per document: id, n_tokens, ids_sha256, decoded_sha256 and, on request, ids and decoded text."""
+    shared_spec, block = _shared(docs, vocabulary_path, text)
 
     def run(batches):
         enc = worker_encoder(shared_spec, block)

@@ -1,12 +1,13 @@
 """Packing into optimal length buckets.
 
-Texts are cut into pieces of at most MOST_TOKENS words. Over the histogram of all pieces' lengths (at most MOST_TOKENS entries)
+Texts are cut into pieces of at most MOST_TOKENS tokens: ids of the lexicon encoder (see bpe) where a vocabulary is given, else words. Over the histogram of all pieces' lengths (at most MOST_TOKENS entries)
 dynamic programming chooses the bucket lengths for which the padding is least. Inside each bucket, batches are formed of as many
 pieces as the token budget takes: a piece's place is its number within (bucket, salt) plus the pieces of the salts before, so no
 bucket, however large, is numbered in one task, and each bucket has one batch that isn't full at most.
 
-Null and empty texts, and those of white space alone, have no pieces: they come back as one row with 0 tokens and null bucket. Rows
-that repeat are packed each. Nothing is dropped: a text's pieces cover it whole.
+Null and empty texts, and those without a token, have no pieces: they come back as one row with 0 tokens and null bucket. Rows
+that repeat are packed each. Nothing is dropped: a text's pieces cover it whole, however long it is. Pieces of equal length
+follow each other by key and number. An empty table gives an empty one, and columns beside key and text are not read.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import token_counts
 from .common import staged
 
 MOST_TOKENS, BUCKETS, BATCH_TOKENS = 2048, 8, 1 << 14
@@ -54,11 +56,12 @@ def optimal_lengths(histogram: dict[int, int], buckets: int = BUCKETS) -> list[i
     return sorted(set(out))
 
 
-def packed(docs: DataFrame, most: int = MOST_TOKENS, buckets: int = BUCKETS, budget: int = BATCH_TOKENS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per piece: key, piece, start (in words), n_tokens, bucket_len, batch_id, slot."""
+def packed(docs: DataFrame, most: int = MOST_TOKENS, buckets: int = BUCKETS, budget: int = BATCH_TOKENS, key: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """Per piece: key, piece, start (in tokens), n_tokens, bucket_len, batch_id, slot. vocabulary: path of a tokenizer file."""
     spark = docs.sparkSession
     n = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
-    lengths = staged(docs.select(F.col(key), n.cast("long").alias("n")), "lengths")
+    counted = token_counts(docs, vocabulary, key, text) if vocabulary else docs.select(F.col(key), n.cast("long").alias("n"))
+    lengths = staged(counted, "lengths")
     sizes = F.when(F.col("n") > 0, F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / most).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
     pieces = lengths.select(key, "n", F.explode(sizes).alias("piece"))
     pieces = pieces.select(key, "piece", (F.col("piece") * most).alias("start"), F.least(F.col("n") - F.col("piece") * most, F.lit(most)).alias("n_tokens"))

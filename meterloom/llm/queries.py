@@ -62,7 +62,7 @@ def op6_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .length_buckets import packed
 
-    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary=vocabulary_path())
 
 
 def op8_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
