@@ -1,13 +1,16 @@
 """Quality classifier from weak labels: a label model of overlapping heuristics, and a hashed linear scorer trained on its posteriors.
 
 Two aspects are modelled alike: form (symbols, capitals, repeated lines, windows and words) and abuse (insults). For each, heuristic
-labellers vote bad, good or not at all; given labels, where there are any, vote like one more labeller. Expectation-maximisation over
+labellers vote bad, good or not at all. One more is learned: a scorer like the last one, but trained on given labels alone, votes bad where
+it is sure. Given labels, where there are any, vote themselves. Expectation-maximisation over
 the counts of all vote patterns (a table of bounded size, counted over all documents) estimates the accuracy of each labeller where
 it votes, and a posterior for every pattern. Not to vote is no evidence: each heuristic knows one kind of badness only. The posteriors of a bounded sample train a sparse logistic scorer over hashed
 features (binned statistics and words), which then scores every document. A document is rejected if either score is above THRESHOLD.
 
 Null and empty texts have no words: nothing votes on them, and only the scorers' features of an empty text speak. They are kept, as
-there is nothing bad in them. Repeated rows get equal scores. Texts are taken whole, in blocks of bounded size.
+there is nothing bad in them. Repeated rows get equal scores; of several labels of a document the greatest count. A score equal to
+THRESHOLD is no rejection. Texts are taken whole, in blocks of bounded size. An empty table gives an empty one; without labels the
+heuristics vote alone. Columns beside id and text go along, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,8 +32,10 @@ INSULTS = [
     ["trash", "scum", "disgusting", "filth", "vermin", "garbage", "ugly"],
 ]
 SYMBOLS = b"#*$%&|<>"
-FORM = ["symbols", "capitals", "repeated_lines", "repeated_windows", "repeated_words", "word_length", "all_clear", "given"]
-ABUSE = ["insults_a", "insults_b", "insults_c", "insult_share", "all_clear", "given"]
+FORM = ["symbols", "capitals", "repeated_lines", "repeated_windows", "repeated_words", "word_length", "all_clear", "learned", "given"]
+ABUSE = ["insults_a", "insults_b", "insults_c", "insult_share", "all_clear", "learned", "given"]
+#: From what score on the learned labeller votes, how little it is held to zero, and labels of either kind that it needs.
+SURE, LEARNED_L1, LEAST_LABELS = 0.8, 2.0, 5
 STATISTICS = ["n_words", "symbols", "capitals", "repeated_lines", "repeated_windows", "distinct_words", "word_length", "insults_a", "insults_b", "insults_c"]
 
 
@@ -75,8 +80,9 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, run, run_at
 
 
-def votes(stats: np.ndarray, quality: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Votes on form and on abuse, a column for each labeller: 1 bad, 0 good, 2 none. quality, toxic: given labels, NaN where none."""
+def votes(stats: np.ndarray, learned: dict[str, np.ndarray], quality: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Votes on form and on abuse, a column for each labeller: 1 bad, 0 good, 2 none. learned: the learned labellers' scores; quality,
+    toxic: given labels, NaN where none."""
     s = {name: stats[:, i] for i, name in enumerate(STATISTICS)}
     some = s["n_words"] >= 1
 
@@ -95,8 +101,8 @@ def votes(stats: np.ndarray, quality: np.ndarray, toxic: np.ndarray) -> tuple[np
     calm = (s["symbols"] < 0.15) & (s["capitals"] < 0.35) & (s["repeated_lines"] < 0.2) & (s["repeated_windows"] < 0.3)
     insults = s["insults_a"] + s["insults_b"] + s["insults_c"]
     abuse = [vote(s[x] >= 1) for x in ("insults_a", "insults_b", "insults_c")] + [vote((insults >= 2) | (insults > 0.02 * s["n_words"]))]
-    form += [np.where(some & calm, 0, 2), np.where(np.isnan(quality), 2, 1 - np.nan_to_num(quality))]
-    abuse += [np.where(some & (insults == 0), 0, 2), np.where(np.isnan(toxic), 2, np.nan_to_num(toxic))]
+    form += [np.where(some & calm, 0, 2), vote(learned["form"] > SURE), np.where(np.isnan(quality), 2, 1 - np.nan_to_num(quality))]
+    abuse += [np.where(some & (insults == 0), 0, 2), vote(learned["abuse"] > SURE), np.where(np.isnan(toxic), 2, np.nan_to_num(toxic))]
     return np.column_stack(form).astype(np.int8), np.column_stack(abuse).astype(np.int8)
 
 
@@ -161,6 +167,23 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], l1: float = 8.0
     return weights(np.arange(BUCKETS + 1))
 
 
+def dense(scorers: dict) -> dict[str, np.ndarray]:
+    """Scorers as they travel (buckets, weights, bias) as arrays, the bias at the end."""
+    out = {}
+    for aspect, (used, weights, bias) in scorers.items():
+        out[aspect] = np.zeros(BUCKETS + 1)
+        out[aspect][used], out[aspect][-1] = weights, bias
+    return out
+
+
+def scores(features_: list[tuple[np.ndarray, np.ndarray]], w: np.ndarray | None) -> np.ndarray:
+    """0 to 1 for each text; 0 without a scorer."""
+    if w is None:
+        return np.zeros(len(features_))
+    z = np.array([w[b] @ x for b, x in features_]) + w[-1]
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def _with_labels(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
     """doc_id, text, h, quality, toxic; the labels come by a join on the ids, of which one row each is taken."""
     rows = docs.select("doc_id", "text", "h")
@@ -170,16 +193,20 @@ def _with_labels(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(one, F.col("doc_id") == F.col("_id"), "left").drop("_id")
 
 
-def _voted(docs: DataFrame) -> DataFrame:
-    """(doc_id, form, abuse, h): vote patterns of the heuristics as strings, and a hash of the id."""
+def _voted(docs: DataFrame, learned: dict) -> DataFrame:
+    """(doc_id, form, abuse): vote patterns of all labellers but the given labels, as strings."""
+    shared = docs.sparkSession.sparkContext.broadcast(learned)
 
     def run(batches):
+        w = dense(shared.value)
         for b in batches:
             form, abuse = [], []
             for _, n, data, offsets in slices(b.column(1)):
-                stats, _, _ = features(data, offsets)
+                stats, runs, at = features(data, offsets)
                 none = np.full(n, np.nan)
-                for out, x in zip((form, abuse), votes(stats, none, none), strict=True):
+                hashed = scorer_features(stats, runs, at) if w else []
+                sure = {x: scores(hashed, w[x]) if x in w else np.zeros(n) for x in ("form", "abuse")}
+                for out, x in zip((form, abuse), votes(stats, sure, none, none), strict=True):
                     out += ["".join(map(str, row)) for row in x[:, :-1].tolist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(form, pa.string()), pa.array(abuse, pa.string())], names=["doc_id", "form", "abuse"])
 
@@ -189,7 +216,11 @@ def _voted(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame | None = None, most: int = SAMPLE) -> dict | None:
     """Both aspects' label models over all documents, and scorers on a sample. The plain values that score() needs."""
     batch_rows(docs.sparkSession)
-    voted = _voted(docs)
+    sample = _sample(docs, labels, most)
+    if sample is None:
+        return None
+    learned = {x: _sparse(fit_scorer([(*f, y) for f, y in zip(sample["features"], given, strict=True) if not np.isnan(y)], LEARNED_L1)) for x, given in sample["given"].items() if _enough(given)}
+    voted = _voted(docs, learned)
     # given labels join the votes, not the texts
     if labels is None:
         voted = voted.withColumns({"q": F.lit("2"), "t": F.lit("2")})
@@ -198,10 +229,10 @@ def train(docs: DataFrame, labels: DataFrame | None = None, most: int = SAMPLE)
         joined = voted.join(one, F.col("doc_id") == F.col("_id"), "left")
         voted = joined.withColumns({"q": F.coalesce((1 - F.col("q")).cast("int").cast("string"), F.lit("2")), "t": F.coalesce(F.col("t").cast("int").cast("string"), F.lit("2"))})
     patterns = voted.groupBy(F.concat("form", "q").alias("form"), F.concat("abuse", "t").alias("abuse")).count().collect()  # bounded by the patterns that there are; some dozens in truth
-    if not patterns:
-        return None
-    out: dict = {"models": {}}
-    posteriors = {}
+    out: dict = {"models": {}, "scorers": {}, "posteriors": {}, "learned": learned}
+    w = dense(learned)
+    sure = {x: scores(sample["features"], w.get(x)) for x in ("form", "abuse")}
+    sampled = votes(sample["stats"], sure, 1 - sample["given"]["form"], sample["given"]["abuse"])
     for aspect, at in (("form", 0), ("abuse", 1)):
         sums: dict = {}
         for r in patterns:
@@ -210,43 +241,49 @@ def train(docs: DataFrame, labels: DataFrame | None = None, most: int = SAMPLE)
         keys = sorted(sums) or ["2" * len((FORM, ABUSE)[at])]
         matrix = np.array([[int(c) for c in k] for k in keys])
         accuracy, post = label_model(matrix, np.array([sums.get(k, 1) for k in keys], float))
-        posteriors[aspect] = dict(zip(keys, post.tolist(), strict=True))
+        out["posteriors"][aspect] = known = dict(zip(keys, post.tolist(), strict=True))
         out["models"][aspect] = dict(zip((FORM, ABUSE)[at], accuracy.tolist(), strict=True))
-    n = sum(r[2] for r in patterns)
-    out["scorers"] = _fit_on_sample(docs, labels, posteriors, n, most)
-    out["posteriors"] = posteriors
+        targets = [known.get("".join(map(str, v))) for v in sampled[at].tolist()]
+        out["scorers"][aspect] = _sparse(fit_scorer([(*f, y) for f, y in zip(sample["features"], targets, strict=True) if y is not None]))
     return out
 
 
-def _fit_on_sample(docs, labels, posteriors, n, most) -> dict[str, tuple[np.ndarray, np.ndarray, float]]:
-    """For each aspect the scorer's buckets with weight, their weights, and the bias."""
-    share = int(min(1.0, 1.2 * most / max(n, 1)) * (1 << 20)) + 1
+def _enough(given: np.ndarray) -> bool:
+    return min((given == 0).sum(), (given == 1).sum()) >= LEAST_LABELS
+
+
+def _sparse(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    used = np.flatnonzero(weights[:-1])
+    return used.astype(np.int32), weights[used], float(weights[-1])
+
+
+def _sample(docs: DataFrame, labels: DataFrame | None, most: int) -> dict | None:
+    """Statistics, hashed features and given labels (1 bad, 0 good, NaN none) of at most `most` documents, the first by a hash of the id.
+    None for an empty table."""
+    n = docs.select(F.count("*")).first()[0]
+    if not n:
+        return None
+    share = int(min(1.0, 1.2 * most / n) * (1 << 20)) + 1
     h = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(23))
     some = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").withColumn("h", h).filter(F.pmod("h", F.lit(1 << 20)) < share)
     rows = _with_labels(some, labels).select("h", "text", "quality", "toxic")
 
     def run(batches):
         for b in batches:
-            found: list = [[], [], [], []]
-            for first, n, data, offsets in slices(b.column(1)):
+            found: list = [[], [], []]
+            for _, _, data, offsets in slices(b.column(1)):
                 stats, runs, at = features(data, offsets)
-                given = [b.column(i).slice(first, n).to_numpy(zero_copy_only=False).astype(float) for i in (2, 3)]
-                for out, x, aspect in zip(found, votes(stats, *given), ("form", "abuse"), strict=False):
-                    out += [posteriors[aspect].get("".join(map(str, v))) for v in x.tolist()]
+                found[0] += list(stats)
                 for buckets, weights in scorer_features(stats, runs, at):
-                    found[2].append(buckets)
-                    found[3].append(weights)
-            kinds = [pa.float64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.float32())]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, k) for x, k in zip(found, kinds, strict=True))], names=["h", "form", "abuse", "b", "w"])
+                    found[1].append(buckets)
+                    found[2].append(weights)
+            kinds = [pa.list_(pa.float64()), pa.list_(pa.int32()), pa.list_(pa.float32())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *(pa.array(x, k) for x, k in zip(found, kinds, strict=True))], names=["h", "quality", "toxic", "s", "b", "w"])
 
-    got = rows.mapInArrow(run, "h long, form double, abuse double, b array<int>, w array<float>").orderBy("h", F.xxhash64("b")).limit(most).toArrow()
-    b, w = arrays_of(got.column("b")), arrays_of(got.column("w"))
-    out = {}
-    for aspect in ("form", "abuse"):
-        weights = fit_scorer([x for x in zip(b, w, got.column(aspect).to_pylist(), strict=True) if x[2] is not None])
-        used = np.flatnonzero(weights[:-1])
-        out[aspect] = (used.astype(np.int32), weights[used], float(weights[-1]))
-    return out
+    got = rows.mapInArrow(run, "h long, quality double, toxic double, s array<double>, b array<int>, w array<float>").orderBy("h", F.xxhash64("b")).limit(most).toArrow()
+    given = {c: got.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("quality", "toxic")}
+    stats = np.array(arrays_of(got.column("s"))).reshape(-1, len(STATISTICS))
+    return {"stats": stats, "features": list(zip(arrays_of(got.column("b")), arrays_of(got.column("w")), strict=True)), "given": {"form": 1 - given["quality"], "abuse": given["toxic"]}}
 
 
 @shielded()
@@ -257,18 +294,14 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
     at = names.index("text")
 
     def run(batches):
-        dense = {}
-        for aspect, (used, weights, bias) in (shared.value or {}).items():
-            dense[aspect] = np.zeros(BUCKETS + 1)
-            dense[aspect][used], dense[aspect][-1] = weights, bias
+        scorers = dense(shared.value or {})
         for b in batches:
             out = {"form": np.zeros(b.num_rows), "abuse": np.zeros(b.num_rows)}
             for first, _, data, offsets in slices(b.column(at)):
                 stats, runs, run_at = features(data, offsets)
-                for i, (buckets, weights) in enumerate(scorer_features(stats, runs, run_at)):
-                    if stats[i, 0]:
-                        for aspect, w in dense.items():
-                            out[aspect][first + i] = 1 / (1 + np.exp(-np.clip(w[buckets] @ weights + w[-1], -30, 30)))
+                hashed = scorer_features(stats, runs, run_at)
+                for aspect, w in scorers.items():
+                    out[aspect][first : first + len(hashed)] = np.where(stats[:, 0] > 0, scores(hashed, w), 0)
             kept = (out["form"] <= THRESHOLD) & (out["abuse"] <= THRESHOLD)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out["form"]), pa.array(out["abuse"]), pa.array(kept)], names=[*names, "bad_form", "abuse", "kept"])
 

@@ -194,6 +194,69 @@ def test_the_prefilter_covers_the_patterns(spark):
     assert hit.filter(~t.rlike(pii._ANY)).isEmpty() and not hit.isEmpty()
 
 
+def plain_feistel(values, radix, key, tweak):
+    """The network by its definition, without Spark."""
+    half = len(values) // 2
+    a, b = values[:half], values[half:]
+    for i in range(pii.ROUNDS):
+        mover, other = (a, b) if i % 2 == 0 else (b, a)
+        d = hashlib.sha512("|".join([key, tweak, str(i), str(len(mover)), ",".join(map(str, other))]).encode()).hexdigest()
+        moved = [(x + int(d[j % 32 * 4 : j % 32 * 4 + 4], 16)) % radix for j, x in enumerate(mover)]
+        a, b = (moved, b) if i % 2 == 0 else (a, moved)
+    return a + b
+
+
+def plain_pair(a, b, size_a, size_b, key, tweak):
+    for i in range(pii.ROUNDS):
+        d = int(hashlib.sha256("|".join([key, tweak, str(i), str(b if i % 2 == 0 else a)]).encode()).hexdigest()[:14], 16)
+        a, b = ((a + d) % size_a, b) if i % 2 == 0 else (a, (b + d) % size_b)
+    return a, b
+
+
+def plain_day(day, key):
+    """A day's number, counted from the first of year 1, after the permutation of its cycle."""
+    import datetime
+
+    begin = [datetime.date(y, 1, 1).toordinal() - 1 for y in range(200, 9801, 400)]
+    for first, end in zip(begin, begin[1:], strict=False):
+        if first <= day < end:
+            a, b = plain_pair((day - first) // 773, (day - first) % 773, 189, 773, key, "date")
+            return first + a * 773 + b
+    at = day if day < begin[0] else day - begin[-1] + begin[0]
+    a, b = plain_pair(at // 1567, at % 1567, 93, 1567, key, "far date")
+    new = a * 1567 + b
+    return new if new < begin[0] else new - begin[0] + begin[-1]
+
+
+def test_pseudonyms_by_brute_force(spark):
+    """Cards, addresses, numbers, secrets and dates of any year, as another program computes them."""
+    import datetime
+
+    key, rng, want = "k1", random.Random(4), {}
+    for _ in range(12):
+        body = [rng.randrange(10) for _ in range(15)]
+        check = next(c for c in range(10) if luhn("".join(map(str, body)) + str(c)))
+        new = plain_feistel(body, 10, key, "card")
+        want["".join(map(str, [*body, check]))] = "".join(map(str, new)) + str(next(c for c in range(10) if luhn("".join(map(str, new)) + str(c))))
+        octets = [rng.randrange(256) for _ in range(4)]
+        want[".".join(map(str, octets))] = ".".join(map(str, plain_feistel(octets, 256, key, "ip")))
+        area, group, serial = rng.choice([1, 665, 667, 899]), rng.randrange(1, 100), rng.randrange(1, 10000)
+        a, b = plain_pair(area - (2 if area > 666 else 1), (group - 1) * 9999 + serial - 1, 898, 99 * 9999, key, "ssn")
+        want[f"{area:03d}-{group:02d}-{serial:04d}"] = f"{a + (2 if a + 1 >= 666 else 1):03d}-{b // 9999 + 1:02d}-{b % 9999 + 1:04d}"
+        nibbles = [10, 1, *(rng.randrange(16) for _ in range(38))]
+        want["".join(f"{x:x}" for x in nibbles)] = "".join(f"{x:x}" for x in plain_feistel(nibbles, 16, key, "secret"))
+    days = [0, 72_682, 72_683, 3_652_058, *(rng.randrange(3_652_059) for _ in range(40))]
+    for day in days:
+        new = datetime.date.fromordinal(plain_day(day, key) + 1)
+        want[datetime.date.fromordinal(day + 1).isoformat()] = new.isoformat()
+        old = datetime.date.fromordinal(day + 1)
+        want[f"{old.day:02d}.{old.month:02d}.{old.year:04d}"] = f"{new.day:02d}.{new.month:02d}.{new.year:04d}"
+    rows = list(enumerate(want))
+    got = {r.doc_id: r.text for r in pii.pseudonymised(docs(spark, rows), key=key).collect()}
+    assert {x: got[i] for i, x in rows} == want
+    assert len({plain_day(day, key) for day in range(72_000, 74_000)}) == 2000
+
+
 def test_equal_values_stay_linked(spark):
     text = "a 10.20.30.40 b 10.20.30.40 c 10.20.30.41"
     one, two = replaced(spark, text).text.split(), replaced(spark, text).text.split()
@@ -303,6 +366,14 @@ def test_order_minhash_by_brute_force(text):
     assert order_minhash.fingerprint(text).tolist() == brute_order_minhash(text)
 
 
+def test_order_minhash_of_a_long_text(monkeypatch):
+    """The two ways to number occurrences agree: k-mers are told apart by the same bits."""
+    text = "abcab" * 3000 + "".join(chr(97 + i % 23) for i in range(9000))
+    h = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1000).astype(np.uint64))
+    assert ((h & np.uint64(0xFFFFFFFFFF000000)) >> np.uint64(24) == h >> np.uint64(24)).all()
+    assert order_minhash.fingerprint(text).tolist() == brute_order_minhash(text)
+
+
 def test_order_matters():
     rng = random.Random(3)
     words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(100)]
@@ -315,14 +386,14 @@ def test_op5(spark):
     got = order_minhash.against_edits(docs(spark, clashes=True)).collect()
     rows = sorted(((i is not None, i or 0, t is not None, t or ""), t or "") for i, t in EDGES)
     assert len(got) == len(EDGES)
-    found = Counter((r.doc_id, r.n_chars, r.edited_sha256, tuple(r.fingerprint), tuple(r.edited_fingerprint), r.near_edited, r.near_next) for r in got)
+    found = Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in got)
     want = Counter()
     for j, (key, text) in enumerate(rows):
         after = rows[(j + 1) % len(rows)][1]
         n = len(text) // 4
         edit = text[: len(text) - n] + after[:n]
         f, e, x = (order_minhash.fingerprint(y) for y in (text, edit, after))
-        want[(key[1] if key[0] else None, len(text), hashlib.sha256(edit.encode()).hexdigest(), tuple(f.tolist()), tuple(e.tolist()), order_minhash.likeness(f, e), order_minhash.likeness(f, x))] += 1
+        want[(key[1] if key[0] else None, len(text), hashlib.sha256(edit.encode()).hexdigest(), order_minhash.shown(f), order_minhash.shown(e), order_minhash.likeness(f, e), order_minhash.likeness(f, x))] += 1
     assert found == want
     assert order_minhash.against_edits(empty(spark)).count() == 0
     one = order_minhash.against_edits(docs(spark, [(1, "abcdefgh")])).first()
@@ -352,6 +423,15 @@ def test_op6(spark):
     assert not re.search("Python|Arrow|Exchange", queries.op6_rule_cascade(spark, SF)._jdf.queryExecution().executedPlan().toString())
 
 
+def test_costs(spark):
+    """A rule's cost holds what it needs of the texts; the order is the same on each run."""
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(400))) for i in range(300)]
+    df, rules = docs(spark, rows).select("doc_id", "text"), {k: v for k, v in quality_rules.default_rules().items() if k in ("too_short", "repeated_windows")}
+    found = [quality_rules.measure(df, rules) for _ in range(2)]
+    assert found[0]["repeated_windows"][0] >= found[0]["too_short"][0] and found[0]["too_short"][1] == 0.0
+    assert quality_rules.ordered(found[0]) == quality_rules.ordered(found[1])
+
+
 def test_cascade_order():
     assert quality_rules.ordered({"cheap": (0.1, 0.1), "dear": (1.0, 0.2), "never": (0.1, 0.0)}) == ["cheap", "dear", "never"]
 
@@ -417,6 +497,18 @@ def test_op7(spark):
     assert length_buckets.packed(empty(spark)).count() == 0
 
 
+def test_op7_counts_tokens(spark, library):
+    """Of the lexicon encoder, as the library counts them."""
+    rows = [*EDGES, (50, "Ein anderes Wort, unpackably long words 12345! \u00e9\u4e2d\u6587")]
+    got: dict = {}
+    for r in length_buckets.packed(docs(spark, rows), most=16, vocabulary=queries.vocabulary_path()).collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.n_tokens
+    want: dict = {}
+    for i, t in rows:
+        want[i] = want.get(i, 0) + len(library.encode(t or "", add_special_tokens=False).ids)
+    assert got == want
+
+
 # -- 8: weak labels ----------------------------------------------------------------------------------------------------
 
 
@@ -432,6 +524,46 @@ def test_label_model_finds_accuracies():
     assert np.mean([best[tuple(v)] == t for v, t in zip(votes.tolist(), truth, strict=True)]) > 0.9
 
 
+def test_votes_by_brute_force(spark):
+    """Statistics, votes and scores of a few texts, recomputed plainly."""
+    import pyarrow as pa
+
+    texts = ["You stupid IDIOT, you trash.", "A calm line of plain words, nothing more to say here.", "###$$$ %% && #*#* <<>> ||", "one two three " * 30, "SHOUTING ALL THE TIME HERE", ""]
+    (_, n, data, offsets), = common.slices(pa.array(texts))
+    stats, runs, at = weak_labels.features(data, offsets)
+    for t, row in zip(texts, stats, strict=True):
+        w = t.split()
+        letters = re.findall("[A-Za-z]", t)
+        windows = Counter(tuple(x.lower() for x in w[i : i + 3]) for i in range(len(w) - 2))
+        want = [len(w), sum(c in "#*$%&|<>" for c in t) / max(len(w), 1), sum(c.isupper() for c in letters) / max(len(letters), 1), 0, sum(x for x in windows.values() if x > 1) / max(len(w) - 2, 1), len({x.lower() for x in w}) / max(len(w), 1), sum(map(len, w)) / max(len(w), 1)]
+        want += [sum(x.lower() in names for x in re.findall("[A-Za-z]+", t)) for names in weak_labels.INSULTS]
+        assert row.tolist() == pytest.approx(want)
+    none, unsure = np.full(n, np.nan), {x: np.zeros(n) for x in ("form", "abuse")}
+    form, abuse = weak_labels.votes(stats, unsure | {"abuse": np.array([0.9] + [0.5] * (n - 1))}, none, none)
+    assert abuse[0].tolist() == [1, 2, 1, 1, 2, 1, 2] and abuse[1].tolist() == [2, 2, 2, 2, 0, 2, 2] and (abuse[-1] == 2).all()
+    assert form[2].tolist()[0] == 1 and form[3].tolist()[3:5] == [1, 1] and form[4].tolist()[1] == 1 and form[1].tolist() == [2, 2, 2, 2, 2, 2, 0, 2, 2]
+    hashed = weak_labels.scorer_features(stats, runs, at)
+    w = np.random.default_rng(2).normal(size=weak_labels.BUCKETS + 1)
+    plain_scores = [1 / (1 + np.exp(-(sum(w[b] * x for b, x in zip(bs.tolist(), xs.tolist(), strict=True)) + w[-1]))) for bs, xs in hashed]
+    assert weak_labels.scores(hashed, w).tolist() == pytest.approx(plain_scores, rel=1e-4)
+    assert weak_labels.scores(hashed, None).tolist() == [0] * n
+
+
+def test_labels_teach_a_labeller(spark):
+    """Words that no list has, learned from the labels of half of the documents, reject the others that hold them."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.choice('abcdefghij')}{rng.choice('klmnopqrst')}{rng.choice('uvwxyz')}"
+    bad = ["grumblewort", "snarkfink", "mudgeling"]
+    rows = [(i, " ".join([word() for _ in range(60)] + (rng.sample(bad, 2) * 3 if i % 4 == 0 else []))) for i in range(800)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(800) if i % 8 < 5], "doc_id long, quality int, toxic int")
+    df = docs(spark, rows)
+    assert weak_labels.train(df, labels)["learned"].keys() == {"abuse"}  # of form there are no labels of both kinds
+    kept = {r.doc_id: r.kept for r in weak_labels.classified(df, labels).collect()}
+    others = [i for i in range(800) if i % 8 >= 5] + [i for i in range(800) if i % 8 == 4]
+    assert sum(kept[i] for i in others if i % 4) >= 0.99 * sum(1 for i in others if i % 4)
+    assert sum(not kept[i] for i in others if i % 4 == 0) >= 0.95 * sum(1 for i in others if i % 4 == 0)
+
+
 def test_op8(spark):
     d = f"{TESTDATA}/sf0.01"
     labels = {r.doc_id: r for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
