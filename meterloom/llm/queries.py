@@ -116,26 +116,17 @@ seg AS (SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
   lambda s: CASE WHEN regexp_matches(regexp_replace(lower(s), '\.[a-z]{1,5}$', ''), '^[0-9]+$') THEN '{n}'
   WHEN regexp_matches(regexp_replace(lower(s), '\.[a-z]{1,5}$', ''), '^[0-9a-f\-]{8,}$') AND regexp_matches(regexp_replace(lower(s), '\.[a-z]{1,5}$', ''), '[0-9]') THEN '{h}'
   WHEN regexp_matches(regexp_replace(lower(s), '\.[a-z]{1,5}$', ''), '[0-9]') THEN '{a}' ELSE regexp_replace(lower(s), '\.[a-z]{1,5}$', '') END || regexp_extract(lower(s), '(\.[a-z]{1,5})$', 1)) AS l FROM ruled),
-flat AS (SELECT page_id, host, path, rule, fit, CASE WHEN len(l) > 3 THEN list_concat(l[1:2], [array_to_string(l[3:], '/')]) ELSE l END AS p FROM seg),
+flat AS (SELECT page_id, host, path, rule, fit, l AS p FROM seg),
 g0 AS (SELECT host, p, p AS t, count(*) AS n, count_if(coalesce(fit = 'block', false)) AS bad, count_if(fit IS NOT NULL) AS labelled FROM flat GROUP BY ALL),
-lit1 AS (SELECT *, CAST([] AS VARCHAR[]) AS above, coalesce(len(t) >= 1 AND NOT contains(t[1], '{'), false) AS literal FROM g0),
-wide1 AS (SELECT host AS wh, above AS wa FROM (SELECT host, above, t[1] AS c, sum(n) AS n FROM lit1 WHERE literal GROUP BY ALL) GROUP BY ALL HAVING count(*) > 30 AND sum(n) < 3 * count(*)),
-g1 AS (SELECT host, p, n, bad, labelled, CASE WHEN literal AND wh IS NOT NULL THEN list_concat(list_concat(above, ['{*}']), t[2:]) ELSE t END AS t FROM lit1 LEFT JOIN wide1 ON wh = host AND wa = above),
-lit2 AS (SELECT *, t[1:1] AS above, coalesce(len(t) >= 2 AND NOT contains(t[2], '{'), false) AS literal FROM g1),
-wide2 AS (SELECT host AS wh, above AS wa FROM (SELECT host, above, t[2] AS c, sum(n) AS n FROM lit2 WHERE literal GROUP BY ALL) GROUP BY ALL HAVING count(*) > 30 AND sum(n) < 3 * count(*)),
-g2 AS (SELECT host, p, n, bad, labelled, CASE WHEN literal AND wh IS NOT NULL THEN list_concat(list_concat(above, ['{*}']), t[3:]) ELSE t END AS t FROM lit2 LEFT JOIN wide2 ON wh = host AND wa = above),
-lit3 AS (SELECT *, t[1:2] AS above, coalesce(len(t) >= 3 AND NOT contains(t[3], '{'), false) AS literal FROM g2),
-wide3 AS (SELECT host AS wh, above AS wa FROM (SELECT host, above, t[3] AS c, sum(n) AS n FROM lit3 WHERE literal GROUP BY ALL) GROUP BY ALL HAVING count(*) > 30 AND sum(n) < 3 * count(*)),
-g3 AS (SELECT host, p, n, bad, labelled, CASE WHEN literal AND wh IS NOT NULL THEN list_concat(list_concat(above, ['{*}']), t[4:]) ELSE t END AS t FROM lit3 LEFT JOIN wide3 ON wh = host AND wa = above),
-tree AS (SELECT host, t, sum(bad) AS bad, sum(labelled) AS labelled FROM g3 GROUP BY ALL),
-shape AS (SELECT t AS st, CAST(sum(bad) + 1 AS DOUBLE) / (sum(labelled) + 2) AS prior, sum(labelled) > 0 AS seen FROM tree GROUP BY t),
-own AS (SELECT tree.*, prior, seen, (bad + 4e0 * prior) / (labelled + 4e0) AS o, t[1] AS b, array_to_string(t[2:], '/') AS rest FROM tree JOIN shape ON st = t),
-branch AS (SELECT host AS bh, b AS bb, list_sort(list(DISTINCT rest)) AS below, sum(labelled) > 0 AS known, floor(avg(o) * 4 + 0.5e0) AS step FROM own GROUP BY ALL),
-alike AS (SELECT own.*, below, known, step FROM own JOIN branch ON bh = host AND bb IS NOT DISTINCT FROM b),
-pooled AS (SELECT host AS ph, below AS pb, known AS pk, step AS ps, rest AS pr, CASE WHEN max(seen) OR sum(labelled) > 0 THEN (sum(bad) + 4e0 * avg(prior)) / (sum(labelled) + 4e0) ELSE 0e0 END AS purity FROM alike GROUP BY ALL),
-known_ AS (SELECT host AS kh, t AS kt, purity FROM alike JOIN pooled ON ph = host AND pb = below AND pk = known AND ps = step AND pr = rest)
+GENERALISED
+tree AS (SELECT host, t, t AS g, sum(bad) AS bad, sum(labelled) AS labelled FROM gLEVELS GROUP BY ALL),
+m0 AS (SELECT *, sum(bad) OVER (PARTITION BY t) AS ab, sum(labelled) OVER (PARTITION BY t) AS al FROM tree),
+MERGED
+own AS (SELECT *, CAST(ab + 1 AS DOUBLE) / (al + 2) AS prior, al > 0 AS seen FROM mLEVELS),
+pooled AS (SELECT host AS ph, g AS pg, CASE WHEN max(seen) OR sum(labelled) > 0 THEN round((sum(bad) + 4e0 * avg(prior)) / (sum(labelled) + 4e0), 9) ELSE 0e0 END AS purity FROM own GROUP BY ALL),
+known_ AS (SELECT host AS kh, t AS kt, purity FROM own JOIN pooled ON ph = host AND pg = g)
 SELECT page_id, flat.host, path, rule, coalesce(fit, CASE WHEN purity > 0.5e0 THEN 'block' ELSE 'allow' END) AS verdict, '/' || array_to_string(t, '/') AS template, round(purity, 6) AS purity
-FROM flat LEFT JOIN g3 ON g3.host = flat.host AND g3.p = flat.p LEFT JOIN known_ ON kh = g3.host AND kt = g3.t""",
+FROM flat LEFT JOIN gLEVELS z ON z.host = flat.host AND z.p = flat.p LEFT JOIN known_ ON kh = z.host AND kt = z.t""",
     "op6_rule_cascade": r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
@@ -150,3 +141,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > 3 * n_words OR (n_lines > 4 AND 10 * n_dup_lines > 3 * n_lines) OR word_chars < 2 * n_words OR word_chars > 20 * n_words
   OR (upper_ > 0 AND 10 * upper_ > 4 * letters) OR 10 * letters < 6 * word_chars) AS kept FROM s""",
 }
+
+
+def _levels(sql: str, levels: int = 6) -> str:
+    """The SQL for paths of so many segments, a few steps for each; the given tables have two."""
+    wider, alike = [], []
+    for i in range(1, levels + 1):
+        above = f"t[1:{i - 1}]" if i > 1 else "CAST([] AS VARCHAR[])"
+        wider.append(f"""lit{i} AS (SELECT *, {above} AS above, coalesce(len(t) >= {i} AND NOT contains(t[{i}], '{{'), false) AS literal FROM g{i - 1}),
+wide{i} AS (SELECT host AS wh, above AS wa FROM (SELECT host, above, t[{i}] AS c, sum(n) AS n FROM lit{i} WHERE literal GROUP BY ALL) GROUP BY ALL HAVING count(*) > 30 AND sum(n) < 3 * count(*)),
+g{i} AS (SELECT host, p, n, bad, labelled, CASE WHEN literal AND wh IS NOT NULL THEN list_concat(list_concat(above, ['{{*}}']), t[{i + 1}:]) ELSE t END AS t FROM lit{i} LEFT JOIN wide{i} ON wh = host AND wa = above),""")
+        alike.append(f"""a{i} AS (SELECT *, {above.replace("t[", "g[")} AS above, t[{i}] AS child, array_to_string(t[{i + 1}:], '/') AS rest FROM m{i - 1}),
+b{i} AS (SELECT host, above, child, CAST(CASE WHEN sum(labelled) > 0 THEN sum(bad) ELSE sum(ab) END AS DOUBLE) AS b, CAST(CASE WHEN sum(labelled) > 0 THEN sum(labelled) ELSE sum(al) END AS DOUBLE) AS n, list_sort(list(DISTINCT rest)) AS below FROM a{i} WHERE child IS NOT NULL GROUP BY ALL),
+c{i} AS (SELECT *, sum(b) OVER k AS tb, sum(n) OVER k AS tn FROM b{i} WINDOW k AS (PARTITION BY host, above, below, n > 0)),
+d{i} AS (SELECT host AS dh, above AS da, child AS dc, CASE WHEN (b * tn - tb * n) * (b * tn - tb * n) * tn <= 4e0 * tb * (tn - tb) * n * (tn - n) THEN CASE WHEN n > 0 THEN '~' ELSE '?' END || array_to_string(below, '|') ELSE child END AS mark FROM c{i}),
+m{i} AS (SELECT host, t, CASE WHEN mark IS NOT NULL THEN list_concat(list_concat(above, [mark]), g[{i + 1}:]) ELSE g END AS g, bad, labelled, ab, al FROM a{i} LEFT JOIN d{i} ON dh = host AND da = above AND dc = child),""")
+    return sql.replace("GENERALISED", "\n".join(wider)).replace("MERGED", "\n".join(alike)).replace("LEVELS", str(levels))
+
+
+ORACLE_SQL["op4_url_templates"] = _levels(ORACLE_SQL["op4_url_templates"])

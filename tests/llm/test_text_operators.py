@@ -321,6 +321,35 @@ def test_templates_learn_from_labels(spark):
     assert again == {i: r.verdict for i, r in out.items()}
 
 
+def deep_pages(seed=1):
+    """Hosts with paths of up to five segments, of which rules block some."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(12000):
+        lang = rng.choice(["es", "fr", "en", "it"])
+        site = rng.choice(["a.net", "b.net", "c.org", "d.org", "e.com"])
+        tail = rng.choice([f"2024/{rng.randrange(1, 13)}/title-{''.join(rng.choice('abcdefghij') for _ in range(4))}", f"list/{rng.randrange(9)}", f"about/{rng.choice(['us', 'them'])}", f"x/y/{rng.choice('pqrs')}/end", ""])
+        out.append((i, f"https://{site}/{lang}/{tail}"))
+    return out
+
+
+def test_op4_on_deep_paths(spark):
+    """Titles below dates become wildcards, unlabelled hosts learn from the like, and the SQL agrees."""
+    import duckdb
+
+    pages = spark.createDataFrame(deep_pages(), "page_id long, url string")
+    got = url_templates.judged(pages).select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 6).alias("purity")).collect()
+    con = duckdb.connect()
+    frame = pages.toPandas()
+    con.register("pages", frame)
+    want = con.sql(queries.ORACLE_SQL["op4_url_templates"])
+    assert want.columns == ["page_id", "host", "path", "rule", "verdict", "template", "purity"]
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want.fetchall()))
+    dated = [r for r in got if r.host == "c.org" and "/2024/" in r.path]
+    assert dated and all(r.template.startswith(f"/{r.path[1:3]}/{{n}}/{{n}}/") and r.template.endswith("{*}") for r in dated)
+    assert {r.verdict for r in dated if r.path.startswith("/es")} == {"block"} and {r.verdict for r in dated if r.path.startswith("/it")} == {"allow"}
+
+
 def test_op4_is_native(spark):
     got = queries.op4_url_templates(spark, SF)
     assert got.count() == 50 and not re.search("Python|Arrow", got._jdf.queryExecution().executedPlan().toString())
