@@ -6,7 +6,9 @@ word's index; the index leads to the word's ids. The automaton is one block of b
 temporary file. Words that the lexicon lacks are merged exactly, many at a time.
 
 Nulls count as empty texts; an empty text has no ids. Rows that repeat are encoded like any other. Special tokens in a text are
-encoded as their ids, as the public library does by default.
+encoded as their ids, as the public library does by default. Texts are taken whole: a long one is a block of its own. Of words that are
+equally frequent the first in the alphabet enter the lexicon; which do changes no result. An empty table gives an empty one, and
+columns beside id and text are not read.
 """
 
 from __future__ import annotations

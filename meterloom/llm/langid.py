@@ -8,7 +8,9 @@ one segmented sum for a whole block of texts.
 The model is fitted on at most SAMPLE texts, chosen by a hash of the id; only their bucket counts reach the driver. Part of the
 sample is set aside: on it a temperature and a rejection threshold are calibrated. Every text gets a prediction.
 
-Null text or a text without a letter: `und` with score 0, rejected. Repeated rows get equal results. Without any labelled row every
+Null text or a text without a letter: `und` with score 0, rejected. Texts are taken whole, in blocks of bounded size; of languages that
+are equally likely the first in the alphabet is the prediction, and a score equal to the threshold is accepted. An empty table gives an
+empty one; columns beside doc_id, text and lang are not read. Repeated rows get equal results. Without any labelled row every
 text is `und`.
 """
 
