@@ -35,6 +35,8 @@ from .common import batch_rows, gathered, kept
 LEXICON_WORDS, TASK_WORDS = 60_000, 40_000
 #: Characters of a pre-token; longer ones are merged with a heap instead of in batches.
 LONG_WORD = 48
+#: Pieces whose numbers of ids a task keeps when it only counts: some 20 MB.
+COUNTED_PIECES = 200_000
 #: Characters of text that are encoded together.
 BLOCK_CHARS = 1 << 23
 
@@ -461,8 +463,36 @@ class Encoder:
                 ids = [all_ids[a:b].tolist() for a, b in zip(total[:-1].tolist(), total[1:].tolist(), strict=True)]
             yield np.diff(total), ids_text, decoded, ids
 
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [x for block in self.blocks(texts, True) for x in block[3]]
+
+
+class TokenCounter:
+    """Numbers of ids without the ids: each distinct piece is merged exactly once and its number kept, so no lexicon is needed and texts are
+    read once. Kept numbers only spare work; when there are too many of them they go, and are made again when met."""
+
+    def __init__(self, vocabulary: Vocabulary, most: int = COUNTED_PIECES):
+        self.v, self.most = vocabulary, most
+        self.known: dict[str, int] = {}
+
+    def distinct(self, pieces: list[str]) -> np.ndarray:
+        lacking = [p for p in pieces if p not in self.known]
+        if not lacking:
+            return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        special = self.v.special
+        split = [() if p in special else (p,) if p.isalpha() else self.v.pre_tokens(p) for p in lacking]
+        words = list(dict.fromkeys([w for x in split for w in x]))
+        sizes, _ = self.v.merge_flat([w.encode() for w in words])
+        size_of = dict(zip(words, sizes.tolist(), strict=True))
+        found = {p: 1 if p in special else sum([size_of[w] for w in x]) for p, x in zip(lacking, split, strict=True)}
+        got = np.fromiter((found[p] if p in found else self.known[p] for p in pieces), np.int64, len(pieces))
+        if len(self.known) + len(found) > self.most:
+            self.known = {}
+        self.known.update(x for x in found.items() if len(x[0]) <= LONG_WORD)
+        return got
+
     def counts(self, texts: list[str], most: int = BLOCK_CHARS):
-        """Numbers of ids of runs of texts, as blocks() gives them, without the ids."""
+        """Numbers of ids of runs of texts, as Encoder.blocks() gives them."""
         at = 0
         while at < len(texts):
             pieces, sizes, size = [], [], 0
@@ -474,14 +504,11 @@ class Encoder:
                 at += 1
             coded = pa.array(pieces, pa.string()).dictionary_encode()
             del pieces
-            counts, _ = self.distinct(coded.dictionary.to_pylist())
+            counts = self.distinct(coded.dictionary.to_pylist())
             total = np.concatenate([[0], np.cumsum(counts[coded.indices.to_numpy(zero_copy_only=False)])])
             ends = np.cumsum(np.array(sizes, np.int64))
             yield total[ends] - total[ends - sizes]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [x for block in self.blocks(texts, True) for x in block[3]]
-
 
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """starts[0], starts[0] + 1, ... counts[0] of them, then from starts[1]."""
@@ -553,13 +580,15 @@ def _shared(docs: DataFrame, vocabulary_path: str, text: str) -> tuple:
 
 
 def token_counts(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n: how many ids each text has."""
-    shared_spec, block = _shared(docs, vocabulary_path, text)
+    """id, n: how many ids each text has. The vocabulary goes with the task, so later stages don't find it in their workers' memory."""
+    batch_rows(docs.sparkSession)
+    with open(vocabulary_path, encoding="utf-8") as f:
+        shared_spec = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches):
-        enc = worker_encoder(shared_spec, block)
+        counter = TokenCounter(Vocabulary(shared_spec.value))
         for b in gathered(batches):
-            counts = [x for y in enc.counts(_texts(b.column(1))) for x in y.tolist()]
+            counts = [x for y in counter.counts(_texts(b.column(1))) for x in y.tolist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64())], names=[id_column, "n"])
 
     return docs.select(id_column, text).mapInArrow(run, f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}, n long")

@@ -1,7 +1,7 @@
 """Packing into optimal length buckets.
 
-Texts are cut into pieces of at most MOST_TOKENS tokens: ids of the lexicon encoder (see bpe) where a vocabulary is given, else words. Over the histogram of all pieces' lengths (at most MOST_TOKENS entries)
-dynamic programming chooses the bucket lengths for which the padding is least. Inside each bucket, batches are formed of as many
+Texts are cut into pieces of at most MOST_TOKENS tokens: ids of the tokenizer file (counted by exact merging, see bpe) where a
+vocabulary is given, else words. Over the histogram of all pieces' lengths (at most MOST_TOKENS entries) dynamic programming chooses the bucket lengths for which the padding is least. Inside each bucket, batches are formed of as many
 pieces as the token budget takes: a piece's place is its number within (bucket, salt) plus the pieces of the salts before, so no
 bucket, however large, is numbered in one task, and each bucket has one batch that isn't full at most.
 

@@ -527,7 +527,7 @@ def test_op7(spark):
 
 
 def test_op7_counts_tokens(spark, library):
-    """Of the lexicon encoder, as the library counts them."""
+    """As the library counts them, also where a task's kept numbers go and come again."""
     rows = [*EDGES, (50, "Ein anderes Wort, unpackably long words 12345! \u00e9\u4e2d\u6587")]
     got: dict = {}
     for r in length_buckets.packed(docs(spark, rows), most=16, vocabulary=queries.vocabulary_path()).collect():
@@ -536,6 +536,11 @@ def test_op7_counts_tokens(spark, library):
     for i, t in rows:
         want[i] = want.get(i, 0) + len(library.encode(t or "", add_special_tokens=False).ids)
     assert got == want
+    with open(queries.vocabulary_path(), encoding="utf-8") as f:
+        counter = bpe.TokenCounter(bpe.Vocabulary(f.read()), most=5)
+    texts = [t or "" for _, t in rows] * 2
+    counted = [int(n) for block in counter.counts(texts, most=20) for n in block]
+    assert counted == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
 # -- 8: weak labels ----------------------------------------------------------------------------------------------------
