@@ -590,6 +590,8 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id
         for b in gathered(batches):
             counts = [x for y in counter.counts(_texts(b.column(1))) for x in y.tolist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64())], names=[id_column, "n"])
+        del counter
+        pa.default_memory_pool().release_unused()
 
     return docs.select(id_column, text).mapInArrow(run, f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}, n long")
 
