@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import common, compact_windows, length_buckets, pii, prefix_tree_join, weak_labels
+from meterloom.llm import common, compact_windows, length_buckets, pii, prefix_tree_join, queries, weak_labels
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -45,8 +45,8 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces in batches of like length, counted in words: the tokenizer would stay in the workers, beside what earlier stages hold."""
-    return length_buckets.packed(docs)
+    """Pieces in batches of like length, counted in ids of the tokenizer, which each task lets go of when it ends."""
+    return length_buckets.packed(docs, vocabulary=queries.vocabulary_path())
 
 
 STAGES = [
