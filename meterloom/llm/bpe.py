@@ -491,8 +491,8 @@ class TokenCounter:
         self.known.update(x for x in found.items() if len(x[0]) <= LONG_WORD)
         return got
 
-    def counts(self, texts: list[str], most: int = BLOCK_CHARS):
-        """Numbers of ids of runs of texts, as Encoder.blocks() gives them."""
+    def counts(self, texts: list[str], most: int = BLOCK_CHARS // 4):
+        """Numbers of ids of runs of texts, as Encoder.blocks() gives them; smaller runs, as what is known lasts beyond them."""
         at = 0
         while at < len(texts):
             pieces, sizes, size = [], [], 0
@@ -587,7 +587,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id
 
     def run(batches):
         counter = TokenCounter(Vocabulary(shared_spec.value))
-        for b in gathered(batches):
+        for b in batches:
             counts = [x for y in counter.counts(_texts(b.column(1))) for x in y.tolist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64())], names=[id_column, "n"])
         del counter
