@@ -29,14 +29,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_rows, gathered, kept
+from .common import batch_rows, frugal, gathered, kept
 
 #: Most words that the lexicon takes, and that each task hands on as candidates.
 LEXICON_WORDS, TASK_WORDS = 60_000, 40_000
 #: Characters of a pre-token; longer ones are merged with a heap instead of in batches.
 LONG_WORD = 48
-#: Pieces whose numbers of ids a task keeps when it only counts: some 20 MB.
-COUNTED_PIECES = 200_000
+#: Pieces whose numbers of ids a task keeps when it only counts: some 20 MB; and those without a number that it holds at once.
+COUNTED_PIECES, OPEN_PIECES = 200_000, 100_000
 #: Characters of text that are encoded together.
 BLOCK_CHARS = 1 << 23
 
@@ -469,45 +469,44 @@ class Encoder:
 
 class TokenCounter:
     """Numbers of ids without the ids: each distinct piece is merged exactly once and its number kept, so no lexicon is needed and texts are
-    read once. Kept numbers only spare work; when there are too many of them they go, and are made again when met."""
+    read once. Kept numbers only spare work; when there are too many of them those go that weren't met for longest, and are made again when
+    met."""
 
     def __init__(self, vocabulary: Vocabulary, most: int = COUNTED_PIECES):
         self.v, self.most = vocabulary, most
         self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
-    def distinct(self, pieces: list[str]) -> np.ndarray:
-        lacking = [p for p in pieces if p not in self.known]
-        if not lacking:
-            return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+    def distinct(self, pieces: list[str]) -> dict[str, int]:
+        """The number of ids of each of the pieces, none of which is among those known."""
+        found = {p: self.older[p] for p in pieces if p in self.older}
+        lacking = [p for p in pieces if p not in found]
         special = self.v.special
         split = [() if p in special else (p,) if p.isalpha() else self.v.pre_tokens(p) for p in lacking]
         words = list(dict.fromkeys([w for x in split for w in x]))
         sizes, _ = self.v.merge_flat([w.encode() for w in words])
         size_of = dict(zip(words, sizes.tolist(), strict=True))
-        found = {p: 1 if p in special else sum([size_of[w] for w in x]) for p, x in zip(lacking, split, strict=True)}
-        got = np.fromiter((found[p] if p in found else self.known[p] for p in pieces), np.int64, len(pieces))
-        if len(self.known) + len(found) > self.most:
-            self.known = {}
+        found.update((p, 1 if p in special else sum([size_of[w] for w in x])) for p, x in zip(lacking, split, strict=True))
         self.known.update(x for x in found.items() if len(x[0]) <= LONG_WORD)
-        return got
-
-    def counts(self, texts: list[str], most: int = BLOCK_CHARS):
-        """Numbers of ids of runs of texts, as Encoder.blocks() gives them."""
-        at = 0
-        while at < len(texts):
-            pieces, sizes, size = [], [], 0
-            while at < len(texts) and (not sizes or size < most):
-                x = self.v.pieces(texts[at])
-                pieces += x
-                sizes.append(len(x))
-                size += len(texts[at])
-                at += 1
-            coded = pa.array(pieces, pa.string()).dictionary_encode()
-            del pieces
-            counts = self.distinct(coded.dictionary.to_pylist())
-            total = np.concatenate([[0], np.cumsum(counts[coded.indices.to_numpy(zero_copy_only=False)])])
-            ends = np.cumsum(np.array(sizes, np.int64))
-            yield total[ends] - total[ends - sizes]
+        if len(self.known) > self.most // 2:
+            self.known, self.older = {}, self.known if len(self.known) <= 2 * self.most else {}  # one text may have any number
+        return found
+
+    def counts(self, texts: list[str], most: int = OPEN_PIECES):
+        """Numbers of ids of runs of texts. A text's pieces go as soon as it is read, but for those without a known number: when there are
+        so many of them, theirs are made and the run ends."""
+        totals, lacking = [], []
+        waiting = 0
+        for i, text in enumerate(texts):
+            pieces = self.v.pieces(text)
+            got = [*map(self.known.get, pieces)]
+            totals.append(sum(filter(None, got)))
+            lacking.append([p for p, n in zip(pieces, got, strict=True) if n is None] if None in got else [])
+            waiting += len(lacking[-1])
+            if waiting >= most or i == len(texts) - 1:
+                found = self.distinct(list(dict.fromkeys([p for x in lacking for p in x])))
+                yield np.array([n + sum(map(found.__getitem__, x)) for n, x in zip(totals, lacking, strict=True)], np.int64)
+                totals, lacking, waiting = [], [], 0
 
 
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -587,13 +586,11 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id
 
     def run(batches):
         counter = TokenCounter(Vocabulary(shared_spec.value))
-        for b in gathered(batches):
+        for b in batches:
             counts = [x for y in counter.counts(_texts(b.column(1))) for x in y.tolist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64())], names=[id_column, "n"])
-        del counter
-        pa.default_memory_pool().release_unused()
 
-    return docs.select(id_column, text).mapInArrow(run, f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}, n long")
+    return docs.select(id_column, text).mapInArrow(frugal(run), f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}, n long")
 
 
 def encode_decode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import sys
 import tempfile
@@ -144,6 +146,26 @@ def gathered(batches, rows: int = 4000, most: int = 1 << 24):
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+def hand_back() -> None:
+    """Gives the system what this process's allocators hold free. They keep most of what a task freed, and workers stay for later tasks, so
+    over the stages of a pipeline every worker would hold the largest of its tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def frugal(run):
+    """A function for mapInArrow that hands its memory back when its task ends."""
+
+    def g(batches):
+        try:
+            yield from run(batches)
+        finally:
+            hand_back()
+
+    return g
+
+
 def kept(key, make, most: int = 8):
     """make()'s value, made once in a process, where the last few stay. Functions travel by value, so their own globals don't outlive a
     task."""
@@ -378,7 +400,7 @@ def _contracted(edges: DataFrame, most: int = 2_000_000) -> DataFrame:
         keep = np.flatnonzero(root != np.arange(len(nodes)))
         return pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[root[keep]])], names=["a", "b"])
 
-    return edges.mapInArrow(run, "a long, b long")
+    return edges.mapInArrow(frugal(run), "a long, b long")
 
 
 def labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

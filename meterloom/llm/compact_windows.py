@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_rows, bitmap_of, in_pieces, mix, shielded, shingles_of, slices, staged, words_of
+from .common import batch_rows, bitmap_of, frugal, in_pieces, mix, shielded, shingles_of, slices, staged, words_of
 
 K, MIN_WORDS = 5, 50
 #: Hash functions, and how many must agree that a run of shingles is shared. One that is gives all of them a signature that two texts have.
@@ -148,7 +148,7 @@ def _signatures(rows: DataFrame, width: int, hashes: int) -> DataFrame:
         deal = np.where(away, mix(d.view(np.uint64) ^ mix(sig.view(np.uint64))).view(np.int64), sig)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (deal, sig, d, node | known)], names=["deal", "sig", "d", "node"])
 
-    return rows.mapInArrow(run, "deal long, sig long, d long, node long")
+    return rows.mapInArrow(frugal(run), "deal long, sig long, d long, node long")
 
 
 def _regions(signatures: DataFrame, enough: int, margin: int, run_: int) -> DataFrame:
@@ -168,7 +168,7 @@ def _regions(signatures: DataFrame, enough: int, margin: int, run_: int) -> Data
                 regions.append(reached([y + (run_ - 1) * (j % 2) for j, y in enumerate(ranges)], margin))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(d, pa.int64())), pa.array(regions, pa.list_(pa.int32()))], names=["d", "regions"])
 
-    return nodes.mapInArrow(run, "d long, regions array<int>")
+    return nodes.mapInArrow(frugal(run), "d long, regions array<int>")
 
 
 def covered(text: np.ndarray, left: np.ndarray, right: np.ndarray, enough: int):
@@ -220,7 +220,7 @@ def _in_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
     # up to a checked size the regions go to the texts; beyond it, texts (smaller than their hashes) are shuffled to meet them
     size = 32 * regions.observed["texts"] + 4 * (regions.observed["ends"] or 0)
     near = F.broadcast(regions) if size <= BROADCAST_BYTES else regions
-    wanted = rows.mapInArrow(some, "id long, d long, t string").join(near, "d").select("id", "d", "t", "regions")
+    wanted = rows.mapInArrow(frugal(some), "id long, d long, t string").join(near, "d").select("id", "d", "t", "regions")
 
     def spread(batches):
         held, size, seen = [], 0, set()
@@ -271,7 +271,7 @@ def _in_regions(rows: DataFrame, regions: DataFrame) -> DataFrame:
         yield from in_pieces(pa.RecordBatch.from_arrays([pa.array(s[ask]), pa.array(ids[ask]), pa.array(d[ask]), pa.array(p[ask]), *(pa.nulls(len(ask), pa.list_(kind)) for kind, _ in lists)], names=names))
         yield pa.RecordBatch.from_arrays([pa.array(mix(d_own.view(np.uint64)).view(np.int64)), pa.array(of(1)), pa.array(d_own), pa.nulls(len(own), pa.int32()), *(pa.array(x, pa.list_(kind)) for kind, x in lists)], names=names)
 
-    return wanted.mapInArrow(spread, "deal long, id long, d long, p int, places array<long>, sources array<long>, lengths array<int>")
+    return wanted.mapInArrow(frugal(spread), "deal long, id long, d long, p int, places array<long>, sources array<long>, lengths array<int>")
 
 
 def passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, hashes: int = HASHES, enough: int = ENOUGH) -> DataFrame:
@@ -309,7 +309,7 @@ def passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("source", pa.int64()), ("at", pa.int32()), ("repeated", pa.int32()), ("union", pa.int32())]))
             yield pa.RecordBatch.from_arrays([b.column(0).take(keep), b.column(1).take(keep), pa.array([y for y in out if y], kind)], names=["id", "d", "spans"])
 
-    return seen.mapInArrow(run, "id long, d long, spans array<struct<start:int,end:int,source:long,at:int,repeated:int,union:int>>")
+    return seen.mapInArrow(frugal(run), "id long, d long, spans array<struct<start:int,end:int,source:long,at:int,repeated:int,union:int>>")
 
 
 def _lines(source: np.ndarray, shift: np.ndarray) -> dict[int, tuple[int, int]]:
@@ -414,7 +414,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
             yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(keep))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(frugal(run), schema)
 
 
 def cut(text: str, ranges: list[tuple[int, int]]) -> str:

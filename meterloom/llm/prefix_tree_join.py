@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_rows, bitmap_of, components, discard, met, mix, shielded, shingles_of, slices, staged, words_of
+from .common import batch_rows, bitmap_of, components, discard, frugal, hand_back, met, mix, shielded, shingles_of, slices, staged, words_of
 
 #: Shingles in one block of a large cluster, about.
 BLOCK_SHINGLES = 400_000
@@ -113,7 +113,7 @@ def _read(docs: DataFrame, k: int, num: int, den: int, key: str, text: str) -> D
         yield pa.RecordBatch.from_arrays([none, pa.array(total_s[keep].view(np.int64)), pa.array(total_n[keep]), none], names=["id", "d", "n", "class"])
 
     rows = docs.select(F.col(key).cast("long").alias("id"), text, _row_key(key, text).alias("d"))
-    return staged(rows.mapInArrow(run, "id long, d long, n long, class long"), "members", members=F.count("class"))
+    return staged(rows.mapInArrow(frugal(run), "id long, d long, n long, class long"), "members", members=F.count("class"))
 
 
 def first_part_of(num: int, den: int) -> int:
@@ -175,7 +175,7 @@ def _candidates(docs: DataFrame, read: DataFrame, k: int, num: int, den: int, te
                     df = pa.nulls(len(values), pa.int64())
                 yield pa.RecordBatch.from_arrays([*map(pa.array, cols), df], names=["s", "class", "meta", "df"])
 
-    return docs.select(text).mapInArrow(run, "s long, class long, meta long, df long")
+    return docs.select(text).mapInArrow(frugal(run), "s long, class long, meta long, df long")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -291,7 +291,7 @@ def _hung(edges: DataFrame, num: int, den: int) -> DataFrame:
         deal = np.where(first, key, mix(c.view(np.uint64)).view(np.int64))
         return pa.RecordBatch.from_arrays([pa.array(deal[keep]), pa.array(c[keep]), pa.array(least[keep], mask=first[keep])], names=["deal", "a", "b"])
 
-    rows = keyed.mapInArrow(run, "deal long, a long, b long").repartition("deal")
+    rows = keyed.mapInArrow(frugal(run), "deal long, a long, b long").repartition("deal")
     rows = rows.withColumn("b", F.coalesce("b", F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("deal"))))
     return rows.filter("a <> b").select("a", "b").distinct()
 
@@ -316,7 +316,7 @@ def _sets_in(docs: DataFrame, cluster: DataFrame, k: int, text: str) -> DataFram
             if c:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(v, pa.list_(pa.int64()))], names=["class", "v"])
 
-    return docs.select(text).mapInArrow(run, "class long, v array<long>")
+    return docs.select(text).mapInArrow(frugal(run), "class long, v array<long>")
 
 
 def _meetings(clusters: DataFrame, num: int, den: int) -> DataFrame:
@@ -364,6 +364,12 @@ def _matched(sets: DataFrame, meetings: DataFrame, num: int, den: int) -> DataFr
     dealt = one.join(meetings, "class").select("class", "v", F.explode("m").alias("m")).select("m.*", "class", "v")
 
     def match(t: pa.Table) -> pa.Table:
+        try:
+            return matched(t)
+        finally:
+            hand_back()
+
+    def matched(t: pa.Table) -> pa.Table:
         c = t.column("class").to_numpy()
         first = np.argsort(c)
         v = t.column("v").combine_chunks()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrays_of, batch_rows, byte_tables, hash_words, mix, repeats, shielded, shingles_of, slices, words_of
+from .common import arrays_of, batch_rows, byte_tables, frugal, hash_words, mix, repeats, shielded, shingles_of, slices, words_of
 
 #: Documents whose posteriors the scorers are fitted on, at most; hashed features; passes.
 SAMPLE, BUCKETS, EPOCHS = 6000, 1 << 18, 3
@@ -210,7 +210,7 @@ def _voted(docs: DataFrame, learned: dict) -> DataFrame:
                     out += ["".join(map(str, row)) for row in x[:, :-1].tolist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(form, pa.string()), pa.array(abuse, pa.string())], names=["doc_id", "form", "abuse"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, form string, abuse string")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(frugal(run), "doc_id long, form string, abuse string")
 
 
 def train(docs: DataFrame, labels: DataFrame | None = None, most: int = SAMPLE) -> dict | None:
@@ -280,7 +280,7 @@ def _sample(docs: DataFrame, labels: DataFrame | None, most: int) -> dict | None
             kinds = [pa.list_(pa.float64()), pa.list_(pa.int32()), pa.list_(pa.float32())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *(pa.array(x, k) for x, k in zip(found, kinds, strict=True))], names=["h", "quality", "toxic", "s", "b", "w"])
 
-    got = rows.mapInArrow(run, "h long, quality double, toxic double, s array<double>, b array<int>, w array<float>").orderBy("h", F.xxhash64("b")).limit(most).toArrow()
+    got = rows.mapInArrow(frugal(run), "h long, quality double, toxic double, s array<double>, b array<int>, w array<float>").orderBy("h", F.xxhash64("b")).limit(most).toArrow()
     given = {c: got.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("quality", "toxic")}
     stats = np.array(arrays_of(got.column("s"))).reshape(-1, len(STATISTICS))
     return {"stats": stats, "features": list(zip(arrays_of(got.column("b")), arrays_of(got.column("w")), strict=True)), "given": {"form": 1 - given["quality"], "abuse": given["toxic"]}}
@@ -306,7 +306,7 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out["form"]), pa.array(out["abuse"]), pa.array(kept)], names=[*names, "bad_form", "abuse", "kept"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    return docs.select(*names).mapInArrow(run, f"{schema}, bad_form double, abuse double, kept boolean")
+    return docs.select(*names).mapInArrow(frugal(run), f"{schema}, bad_form double, abuse double, kept boolean")
 
 
 def classified(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -543,6 +544,40 @@ def test_op7_counts_tokens(spark, library):
     assert counted == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_op7_counting_holds_few_pieces():
+    """Of texts of 600,000 words, which aren't held at once."""
+    with open(queries.vocabulary_path(), encoding="utf-8") as f:
+        counter = bpe.TokenCounter(bpe.Vocabulary(f.read()))
+    texts = [" ".join(f"word{i % 50} {j}" for j in range(150)) for i in range(2000)]
+    tracemalloc.start()
+    counted = [n for x in counter.counts(texts) for n in x.tolist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(counted) == 2000 and counted[:50] == counted[50:100] and peak < 20e6
+    # the same where few numbers are kept, for some time
+    few = bpe.TokenCounter(counter.v, most=300)
+    assert [n for x in few.counts(texts[:200], most=100) for n in x.tolist()] == counted[:200] and few.older
+
+
+def test_tasks_hand_their_memory_back():
+    """Also where what is left of it lies behind what went."""
+
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(x.split()[1]) for x in f if x.startswith("Pss_Anon")) / 1024
+
+    last = []
+
+    def run(batches):
+        parts = [np.ones(50_000, np.uint8) for _ in range(4000)]
+        last.append(parts[-1])
+        yield from batches
+
+    before = held()
+    assert list(common.frugal(run)(iter([1, 2]))) == [1, 2]
+    assert held() - before < 60
+
+
 # -- 8: weak labels ----------------------------------------------------------------------------------------------------
 
 
